@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,3 +26,15 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="chatframe-"))
     return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for the functions that run in Python workers there."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_chatframe_shipped", False):
+        here = os.path.dirname(os.path.abspath(__file__))
+        with tempfile.TemporaryDirectory() as staging:
+            kept = os.path.join(tempfile.mkdtemp(prefix="chatframe-"), "chatframe_package")
+            shutil.copytree(here, os.path.join(staging, "chatframe"), ignore=shutil.ignore_patterns("__pycache__"))
+            sc.addPyFile(shutil.make_archive(kept, "zip", staging))
+        sc._chatframe_shipped = True
