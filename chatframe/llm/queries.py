@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import conversations
+from . import conversations, groups, packing, tokens
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,5 +18,24 @@ def p1_turns(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.rebuild(table(spark, folder, "enriched"), table(spark, folder, "owner_names"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_turns": p1_turns}
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    g = groups.conversation_groups(table(spark, folder, "contexts"))
+    shared = g.groupBy("group_id").count().where("count > 1").select("group_id")
+    return g.join(shared, "group_id", "left_semi").select("conversation_id", "group_id")
+
+
+def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
+    contexts = table(spark, folder, "contexts")
+    return groups.grouped_split(contexts, groups.conversation_groups(contexts))
+
+
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.encode(table(spark, folder, "documents"))
+
+
+def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(tokens.lengths(table(spark, folder, "documents")))
+
+
+QUERIES = {"p1_found": p1_found, "p1_turns": p1_turns, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_containers": p9_containers}
 SQL: dict[str, str] = {}
