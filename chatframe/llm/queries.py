@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import conversations, groups, packing, tokens
+from . import abuse, conversations, groups, packing, personal, tokens
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,6 +18,34 @@ def p1_turns(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.rebuild(table(spark, folder, "enriched"), table(spark, folder, "owner_names"))
 
 
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = table(spark, folder, "parsed")
+    model = abuse.train(parsed, table(spark, folder, "labels"), table(spark, folder, "nsfw_words"))
+    return abuse.score(parsed.select("msg_id", "source_file", "text").distinct(), model)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder).where("abusive").select("msg_id").distinct()
+
+
+def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages, abusive ones, their rate and the mean score per source_file."""
+    by = _scored(spark, folder).groupBy("source_file").agg(F.count("*").alias("n_messages"), F.count_if(F.col("abusive")).alias("n_abusive"), F.avg("score").alias("mean_score"))
+    return by.withColumn("rate", F.col("n_abusive") / F.col("n_messages"))
+
+
+def _names(spark: SparkSession, folder: str) -> tuple[str, ...]:
+    return personal.known_names(table(spark, folder, "contacts"), table(spark, folder, "owner_names"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.find(table(spark, folder, "parsed"), _names(spark, folder))
+
+
+def p5_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.redact(table(spark, folder, "parsed").select("msg_id", "text").distinct(), _names(spark, folder))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     g = groups.conversation_groups(table(spark, folder, "contexts"))
     shared = g.groupBy("group_id").count().where("count > 1").select("group_id")
@@ -37,5 +65,5 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(tokens.lengths(table(spark, folder, "documents")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_turns": p1_turns, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_containers": p9_containers}
+QUERIES = {"p1_found": p1_found, "p1_turns": p1_turns, "p3_found": p3_found, "p3_rates": p3_rates, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_containers": p9_containers}
 SQL: dict[str, str] = {}
