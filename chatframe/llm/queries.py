@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import abuse, conversations, groups, packing, personal, tokens
+from . import abuse, conversations, groups, languages, overlap, packing, personal, tokens
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,6 +57,20 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
     return groups.grouped_split(contexts, groups.conversation_groups(contexts))
 
 
+def _splits(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.splits(**{s: table(spark, folder, s) for s in ("train", "val", "test")})
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.contained_pairs(_splits(spark, folder)).select("id_a", "id_b")
+
+
+def p7_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """Records per pair of splits and source_file, those that share half and nine tenths of their text, mean share."""
+    o = overlap.chunk_overlap(_splits(spark, folder), ("train", "val", "test"))
+    return o.groupBy("split", "other", "source_file").agg(F.count("*").alias("n_records"), F.count_if(F.col("overlap") >= 0.5).alias("n_half"), F.count_if(F.col("overlap") >= 0.9).alias("n_same"), F.avg("overlap").alias("mean_overlap"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode(table(spark, folder, "documents"))
 
@@ -65,5 +79,33 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(tokens.lengths(table(spark, folder, "documents")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_turns": p1_turns, "p3_found": p3_found, "p3_rates": p3_rates, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_containers": p9_containers}
+def _languages(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return languages.identify(documents, languages.fit(documents))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.mislabelled(_languages(spark, folder))
+
+
+def p10_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return _languages(spark, folder).select("doc_id", "main_lang", "confidence", "segments")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_turns": p1_turns,
+    "p3_found": p3_found,
+    "p3_rates": p3_rates,
+    "p5_found": p5_found,
+    "p5_redacted": p5_redacted,
+    "p6_found": p6_found,
+    "p6_splits": p6_splits,
+    "p7_found": p7_found,
+    "p7_overlap": p7_overlap,
+    "p8_ids": p8_ids,
+    "p9_containers": p9_containers,
+    "p10_found": p10_found,
+    "p10_documents": p10_documents,
+}
 SQL: dict[str, str] = {}
