@@ -8,6 +8,8 @@ from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .pytext import bind
+
 #: Month names and their usual short forms, by language.
 MONTHS = {
     "en": "january february march april may june july august september october november december",
@@ -65,11 +67,6 @@ def abbreviations(zones: list[str]) -> dict[str, int]:
     return out
 
 
-def bind(value: Column, use) -> Column:
-    """use(value) with value computed once however often it is used: a one-element array and its lambda variable."""
-    return F.transform(F.array(value), use)[0]
-
-
 #: Fields of a value that was taken apart, in this order.
 _FIELDS = ("kind", "y", "mo", "d", "h", "mi", "s", "frac", "half", "zone")
 

@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeparse import abbreviations, bind, readings, utc_us, zone_names
+from ..functions.pytext import bind
+from ..functions.timeparse import abbreviations, readings, utc_us, zone_names
 
 CHUNK = 10_000
 SWITCH_COST, BACK_COST, MDY_COST = 1.0, 2.0, 0.01

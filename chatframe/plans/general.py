@@ -43,7 +43,7 @@ _SESSIONS = """
 with m as (select distinct msg_id, source_file, epoch_us(datetime) us from enriched where source_file is not null and datetime is not null),
 g as (select *, us - lag(us) over (partition by source_file order by us, msg_id) gap from m),
 s as (select g.*, t.gap_s, sum(case when gap is null or gap > t.gap_s * 1000000 then 1 else 0 end) over (partition by source_file, t.gap_s order by us, msg_id rows unbounded preceding) sid
-      from g, (values {values}) t(gap_s)),
+      from g, (select cast(v as bigint) gap_s from (values {values}) x(v)) t),
 r as (select source_file, gap_s, sid, min(us) start_us, max(us) end_us, count(*) n_messages from s group by all)
 """
 SQL = {
