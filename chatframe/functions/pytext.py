@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +39,8 @@ def redact(c: Column, keep: int, none: str | None = None) -> Column:
 def bind(value: Column, use) -> Column:
     """use(value) with value computed once however often it is used: a one-element array and its lambda variable."""
     return F.transform(F.array(value), use)[0]
+
+
+def constant(value, kind: str) -> Column:
+    """A nested constant as one literal of a DDL type; planning a tree of single literals would take seconds."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)

@@ -8,7 +8,7 @@ from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .pytext import bind
+from .pytext import bind, constant
 
 #: Month names and their usual short forms, by language.
 MONTHS = {
@@ -92,7 +92,7 @@ def _fields(text: Column) -> Column:
 def _local_us(f: dict[str, Column], day: str, month: str) -> Column:
     """Wall clock as microseconds, null where there is no such date or time of day."""
     months = {name: i % 12 + 1 for names in MONTHS.values() for i, name in enumerate(names.split())}
-    named = F.try_element_at(F.create_map(*(F.lit(x) for kv in months.items() for x in kv)), f[month])
+    named = F.try_element_at(constant(months, "map<string,int>"), f[month])
     hour = f["h"].try_cast("int")
     hour = F.when(f["half"] == "", hour).when(hour.between(1, 12), hour % 12 + F.when(f["half"] == "p", 12).otherwise(0))
     sec = F.concat(F.lit("0"), f["s"], F.lit("."), F.substring(F.rpad(f["frac"], 6, "0"), 1, 6)).try_cast("decimal(9,6)")
@@ -135,8 +135,8 @@ def utc_us(local: Column, zone: Column, device_zone: Column, names: list[str], o
     zone is what the text says (lower case, null if nothing): an offset, a region or an abbreviation of device_zone.
     An abbreviation that device_zone doesn't use counts as nothing said.
     """
-    known = F.create_map(*(F.lit(x) for z in names for x in (z.lower(), z)))
-    pairs = F.create_map(*(F.lit(x) for kv in sorted(offsets.items() or [("", 0)]) for x in kv))
+    known = constant({z.lower(): z for z in names}, "map<string,string>")
+    pairs = constant(offsets, "map<string,int>")
 
     def of(said: Column) -> Column:
         numeric = F.regexp_replace(said, "^(?:gmt|utc)(?=[+-])", "")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pytext import bind, strip
+from ..functions.pytext import bind, constant, strip
 
 MOST_CONTACTS = 20_000
 
@@ -61,16 +62,23 @@ def tag_relationships(df: DataFrame, contacts: Contacts) -> DataFrame:
     and chats find nothing; without a hit the phone is ``unknown`` and the relationship the default.
     """
     hit = "struct<name:string,phone:string,relationship:string>"
-    people = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(p).alias("phone"), F.lit(r).alias("relationship")) for n, p, r in contacts.names)).cast(f"array<{hit}>")
-    groups = F.array(*(F.struct(F.lit(g).alias("name"), F.lit("group").alias("phone"), F.lit(r).alias("relationship")) for g, r in contacts.groups)).cast(f"array<{hit}>")
+    people = constant([{"name": n, "phone": p, "relationship": r} for n, p, r in contacts.names], f"array<{hit}>")
+    groups = constant([{"name": g, "phone": "group", "relationship": r} for g, r in contacts.groups], f"array<{hit}>")
 
     def first(found: Column) -> Column:
         return F.try_element_at(found, F.lit(1))
 
+    if contacts.names:
+        whole = constant({n: {"name": n, "phone": p, "relationship": r} for n, p, r in contacts.names}, f"map<string,{hit}>")
+        inside = "|".join(re.escape(n).replace("\\ ", " ") for n, *_ in contacts.names)
+        around = F.lit("\n".join(n for n, *_ in contacts.names))
+
     def candidate(key: Column) -> list[Column]:
-        exact = F.filter(people, lambda c: c["name"] == key)
-        part = F.filter(people, lambda c: key.contains(c["name"]) | c["name"].contains(key))
-        return [F.when(key != "", first(exact)), F.when(key != "", first(part))]
+        if not contacts.names:
+            return []
+        # the book is only gone through if some name is in the key or the key in some name
+        part = F.when(key.rlike(inside) | around.contains(key), first(F.filter(people, lambda c: key.contains(c["name"]) | c["name"].contains(key))))
+        return [F.when(key != "", F.try_element_at(whole, key)), F.when(key != "", part)]
 
     def of(k: Column) -> Column:
         group = first(F.filter(groups, lambda g: k["chat"].contains(g["name"])))
