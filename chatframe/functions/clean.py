@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .pytext import WS, D, W, strip, tokens
+from .pytext import WS, D, W, bind, strip, tokens
 
 #: Common English words that are removed on request.
 ENGLISH_WORDS = (
@@ -83,9 +83,11 @@ def clean_text(c: Column, devanagari: bool = True, english: bool = False, masked
         t = remove_words(t, english_words)
     t = normalise_space(mask_words(t, masked))
     # the cheap test comes first: CASE stops there
-    return F.when(c.isNull() | (c == "") | is_media(c), F.lit(None).cast("string")).otherwise(F.when(F.length(t) > 1, t))
+    return F.when(c.isNull() | (c == "") | is_media(c), F.lit(None).cast("string")).otherwise(bind(t, lambda x: F.when(F.length(x) > 1, x)))
 
 
 def clean_messages(df: DataFrame, text: str = "text", **rules) -> DataFrame:
     """df with its text cleaned, rows without a rest removed."""
-    return df.withColumn(text, clean_text(F.col(text), **rules)).where(F.col(text).isNotNull())
+    # a generator computes the text once, where a filter on it would compute it again
+    kept = df.select("*", F.explode(F.array_compact(F.array(clean_text(F.col(text), **rules)))).alias("_cleaned"))
+    return kept.select(*(F.col("_cleaned").alias(c) if c == text else F.col(c) for c in df.columns))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 def dedup_messages(df: DataFrame, on: Sequence[str] = ("datetime", "sender", "text"), order: Sequence[str] = ("source_file", "line_no")) -> DataFrame:
     """One row per value of on, the first by order; nulls equal each other."""
-    w = Window.partitionBy(*on).orderBy(*order)
-    return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    w = Window.partitionBy(*(f"row.`{c}`" for c in on)).orderBy(*(f"row.`{c}`" for c in order))
+    return df.select(F.struct("*").alias("row")).withColumn("n", F.row_number().over(w)).where("n = 1").select("row.*")
 
 
 def cutoff(df: DataFrame, months: int, as_of, ts: str = "datetime") -> DataFrame:

@@ -140,8 +140,8 @@ def _merge(batches: Iterator[pd.DataFrame], threshold_us: int | None) -> Iterato
 def gap_tree(df: DataFrame, entity: str, ts: str, event_id: str, *, slot_s: int = SLOT_S, chunk_s: int = CHUNK_S, threshold_s: int | None = None) -> DataFrame:
     """The nodes of every entity's tree: entity, start_us, end_us, n_events, gap_us, parent_gap_us (null at a root).
 
-    Rows without entity or time are left out; rows with the same event_id count once, rows without one each count as
-    none. Ties in time fall into one atom. An empty table gives an empty tree. With threshold_s only the nodes that are
+    Rows without entity or time are left out; rows with the same event_id count once, rows without one once
+    for each time. Ties in time fall into one atom. An empty table gives an empty tree. With threshold_s only the nodes that are
     sessions at this threshold leave the tasks.
     """
     if chunk_s % slot_s:
@@ -154,8 +154,8 @@ def gap_tree(df: DataFrame, entity: str, ts: str, event_id: str, *, slot_s: int
     spread = events.withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_s * 1_000_000)).cast("int")).repartition("entity", "chunk")
     slot = F.floor(F.col("us") / F.lit(slot_s * 1_000_000)).cast("int")
     atoms = (
-        spread.groupBy("entity", "chunk", slot.alias("slot"), "id").agg(F.min("us").alias("us"))
-        .groupBy("entity", "chunk", "slot").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("id").alias("n_events"))
+        spread.groupBy("entity", "chunk", slot.alias("slot"), "id", F.when(F.col("id").isNull(), F.col("us"))).agg(F.min("us").alias("us"))
+        .groupBy("entity", "chunk", "slot").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("*").alias("n_events"))
         .sortWithinPartitions("entity", "chunk", "slot")
     )
     local = atoms.mapInPandas(lambda b: _chunks(b, us), f"entity string, {_NODE}, is_item boolean")

@@ -18,6 +18,15 @@ def micros(c: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c.cast("timestamp_ntz"))
 
 
+FEATURES = ("timedelta_prev", "session_break", "session_id", "position", "reply_chain_depth", "ghosted")
+
+
+def carried(df: DataFrame, *replaced: str) -> Column:
+    """All columns of df but the replaced ones as one, so that their names can't clash with those of a computation."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in replaced]
+    return F.struct(*kept).alias("_row") if kept else F.struct(F.lit(None).cast("string").alias("_")).alias("_row")
+
+
 def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float = 3600, ghost_s: float = 86_400, slice_s: int = WEEK_S, ties: tuple[str, ...] = ("line_no",)) -> DataFrame:
     """df with timedelta_prev, session_break, session_id, position, reply_chain_depth and ghosted.
 
@@ -25,14 +34,16 @@ def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float
     interleaved chats break each other's sessions; scope chat: the one before in the same source_file. session_id counts
     the breaks of a chat. Rows without datetime have no place in the order and are left out; a null source_file is a chat
     of its own; a null sender is never you and differs from every neighbour but another null. Equal rows follow each other
-    in any order. An empty table gives an empty result with the columns.
+    in any order. An empty table gives an empty result with the columns. Columns of these names are replaced, others of any
+    name are carried along.
     """
     if scope not in ("global", "chat"):
         raise ValueError(scope)
     chat, at = ["_chat"], ["_slice"]
     keys = chat if scope == "chat" else []
     order = ["_us", "_chat", *ties]
-    rows = df.withColumn("_us", micros(F.col("datetime"))).where("_us is not null")
+    needed = list(dict.fromkeys(["source_file", "sender", *ties]))
+    rows = df.select(carried(df, *FEATURES), *needed, micros(F.col("datetime")).alias("_us")).where("_us is not null")
     rows = rows.withColumns({"_slice": F.floor(F.col("_us") / F.lit(slice_s * 1_000_000)).cast("bigint"), "_chat": F.coalesce(F.concat(F.lit("c"), F.col("source_file")), F.lit("n")), "_you": F.coalesce(F.col("sender") == you, F.lit(False))})
     place = F.struct(*order)
 
@@ -67,4 +78,4 @@ def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float
     out = seen.join(more, ["_chat", "_slice"]).withColumn("session_id", F.col("_s0") + F.col("_s"))
     first, last = F.col("session_break"), F.coalesce("_nb", "_ab")
     out = out.withColumn("position", F.when(first & ~last, "opener").when(last & ~first, "closer").otherwise("mid"))
-    return out.select(*df.columns, "timedelta_prev", "session_break", "session_id", "position", "reply_chain_depth", "ghosted")
+    return out.select("_row.*", *FEATURES)

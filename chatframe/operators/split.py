@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import carried
+
 TRAIN, VAL, LEAST, SEED, BUCKETS = 0.85, 0.10, 10, 42, 4096
 
 
@@ -27,14 +29,15 @@ def stratified_split(df: DataFrame, stratum: str, *key: str, train: float = TRAI
     rows with equal keys take neighbouring ranks.
     """
     h = F.xxhash64(*key, F.lit(seed))
-    rows = df.withColumns({"_s": F.coalesce(F.concat(F.lit("v"), F.col(stratum)), F.lit("n")), "_h": h, "_b": F.pmod(h, F.lit(buckets)).cast("int")})
+    ranks = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]
+    rows = df.select(carried(df, "split"), *ranks, F.coalesce(F.concat(F.lit("v"), F.col(stratum)), F.lit("n")).alias("_s"), h.alias("_h"), F.pmod(h, F.lit(buckets)).cast("int").alias("_b"))
     hist = rows.groupBy("_s", "_b").agg(F.count("*").alias("_m"))
     w = Window.partitionBy("_s")
     starts = hist.select("_s", "_b", F.coalesce(F.sum("_m").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_r0"), F.sum("_m").over(w).alias("_n"))
-    rank = F.col("_r0") + F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", *key))
+    rank = F.col("_r0") + F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", *(f"_k{i}" for i in range(len(key)))))
     n = F.col("_n").cast("double")
     n_test = F.greatest(F.lit(1), F.floor(n * F.lit(1 - train - val)).cast("int"))
     n_val = F.greatest(F.lit(1), F.floor(n * F.lit(val)).cast("int"))
     ranked = rows.join(starts, ["_s", "_b"]).withColumn("_r", rank)
     split = F.when(F.col("_n") < least, "train").when(F.col("_r") <= n_test, "test").when(F.col("_r") <= n_test + n_val, "val").otherwise("train")
-    return ranked.withColumn("split", split).select(*df.columns, "split")
+    return ranked.withColumn("split", split).select("_row.*", "split")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.message import twelve_hour
-from ..functions.pytext import redact, strip
+from ..functions.pytext import bind, redact, strip
 
 #: Total samples from which a corpus counts as usable and as good.
 ENOUGH, GOOD = 3_000, 8_000
@@ -65,7 +65,8 @@ def recent_messages(df: DataFrame, n: int, *ties: str, keep: int = 24) -> DataFr
 
 def cleaning_preview(df: DataFrame, cleaned: Column, n: int, *ties: str, text: str = "text", keep: int = 24) -> DataFrame:
     """The n latest rows that cleaning changes or drops, or the n latest rows if it changes none."""
-    rows = df.withColumn("cleaned", cleaned).withColumn("changed", ~F.col(text).eqNullSafe(F.col("cleaned")))
+    both = bind(cleaned, lambda c: F.struct(c.alias("cleaned"), (~F.col(text).eqNullSafe(c)).alias("changed")))
+    rows = df.select("*", F.inline(F.array(both)))
     some = rows.agg(F.coalesce(F.max("changed"), F.lit(False)).alias("_some"))
     wanted = rows.join(F.broadcast(some)).where(F.col("changed") | ~F.col("_some"))  # some: one row
     return recent(wanted, n, *ties).select(*ties, redact(F.col(text), keep).alias("before"), redact(F.col("cleaned"), keep, "[DROPPED]").alias("after"), "changed")
@@ -73,7 +74,7 @@ def cleaning_preview(df: DataFrame, cleaned: Column, n: int, *ties: str, text: s
 
 def cleaning_effect(df: DataFrame, cleaned: Column, text: str = "text") -> DataFrame:
     """One row: rows, changed ones (dropped ones included) and dropped ones."""
-    rows = df.select(F.col(text).alias("t"), cleaned.alias("c"))
+    rows = df.select(F.inline(F.array(bind(cleaned, lambda c: F.struct(F.col(text).alias("t"), c.alias("c"))))))
     return rows.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("t").eqNullSafe(F.col("c"))).alias("n_changed"), F.count_if(F.col("c").isNull()).alias("n_dropped"))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.pytext import bind
 from ..functions.timeparse import abbreviations, readings, utc_us, zone_names
+from ..runtime import tasks
 
 CHUNK = 10_000
 SWITCH_COST, BACK_COST, MDY_COST = 1.0, 2.0, 0.01
@@ -147,7 +148,8 @@ def normalise_timestamps(df: DataFrame, devices: DataFrame, record: str = "msg_i
     of a device without date order is decided over its source; without a source it is read day first. Only rows of such
     devices, and the sources that they are in, take that way.
     """
-    rows = df.where(F.col(record).isNotNull()).select(F.col(record).cast("bigint").alias("rec"), F.col(source).alias("source"), F.col(value).alias("value"), F.col(device).alias("device")).distinct()
+    rows = df.where(F.col(record).isNotNull()).select(F.col(record).cast("bigint").alias("rec"), F.col(source).alias("source"), F.col(value).alias("value"), F.col(device).alias("device"))
+    rows = rows.repartition(tasks(df.sparkSession), "rec").distinct()  # the exchange serves distinct, too
     read = interpretations(rows, devices, "value", "device")
     # a generator computes the array once, where a filter on its size would compute it again
     each = read.select("rec", F.inline(bind(F.col("readings"), lambda rs: F.transform(rs, lambda r: F.struct(r.kind.alias("kind"), r.utc_us.alias("utc_us"), F.size(rs).alias("n"))))))

@@ -28,6 +28,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tasks(spark: SparkSession) -> int:
+    """The number of tasks of a shuffle whose work is heavier than its data, which adaptive coalescing can't know."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many tasks as there are cores, for work that is heavier than its data; usually df itself."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, for the functions that run in Python workers there."""
     sc = spark.sparkContext
