@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import spread
+
 LANGS = ("de", "en", "es", "fr", "hi", "hi-latn", "pt")
 #: Profiles are fitted on at most about MOST_DOCS documents, from at most MOST_WORDS words a language.
 MOST_DOCS, MOST_WORDS, PROFILE = 20_000, 20_000, 6_000
@@ -156,7 +158,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     then twice by the segments that the profiles before are sure of, which drops the wrong ones."""
     n = max(1, df.count())
     share = min(1.0, MOST_DOCS / n)
-    some = df.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20))).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    some = spread(df.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20))).select(F.col(text).alias("text"), F.col(lang).alias("lang")))
     model: Profiles | None = None
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     for _ in range(3):
@@ -185,7 +187,7 @@ def identify(df: DataFrame, model: Profiles, key: str = "doc_id", text: str = "t
             yield pd.DataFrame(rows, columns=["key", "main_lang", "confidence", "langs", "named", "segments"])
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).mapInPandas(run, f"key {kind}, main_lang string, confidence double, langs array<string>, named array<string>, segments array<struct<start:int,end:int,lang:string,confidence:double>>")
+    out = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))).mapInPandas(run, f"key {kind}, main_lang string, confidence double, langs array<string>, named array<string>, segments array<struct<start:int,end:int,lang:string,confidence:double>>")
     return out.withColumnRenamed("key", key)
 
 

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
+
 KINDS = ("email", "address", "id_number", "phone", "person")
 #: Characters around an anchor that belong to its window; items are shorter.
 BEFORE, AFTER = 96, 128
@@ -241,7 +243,7 @@ def find(df: DataFrame, names: tuple[str, ...], key: str = "msg_id", text: str =
             yield pd.DataFrame(rows, columns=["key", "kind", "occurrence"])
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, kind string, occurrence int")
+    out = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"))).mapInPandas(run, f"key {kind}, kind string, occurrence int")
     return out.distinct().withColumnRenamed("key", key)
 
 
@@ -260,4 +262,4 @@ def redact(df: DataFrame, names: tuple[str, ...], text: str = "text") -> DataFra
             pdf[text] = out
             yield pdf
 
-    return df.mapInPandas(run, df.schema)
+    return spread(df).mapInPandas(run, df.schema)

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
+
 FOLDER = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-token pattern of this vocabulary.
@@ -130,7 +132,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
                 at += len(part)
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, ids array<int>")
+    out = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"))).mapInPandas(run, f"key {kind}, ids array<int>")
     return out.withColumnRenamed("key", key)
 
 
@@ -145,7 +147,7 @@ def lengths(df: DataFrame, key: str = "doc_id", text: str = "text", path: str |
             yield pd.DataFrame({"key": pdf["key"], "n_tokens": n})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, n_tokens bigint").withColumnRenamed("key", key)
+    return spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"))).mapInPandas(run, f"key {kind}, n_tokens bigint").withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
