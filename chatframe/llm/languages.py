@@ -42,11 +42,11 @@ def segments(text: str) -> Iterator[tuple[int, int]]:
         if not _NOTICE.match(body[start:]):
             last = start
             for m in _SENTENCE.finditer(body, start):
-                if body[last : m.start()].strip():
-                    yield at + last, at + m.start()
+                if part := body[last : m.start()].strip():
+                    yield (begin := at + body.index(part, last)), begin + len(part)
                 last = m.end()
-            if body[last:].strip():
-                yield at + last, at + len(body)
+            if part := body[last:].strip():
+                yield (begin := at + body.index(part, last)), begin + len(part)
         at += len(line) + 1
 
 
