@@ -19,7 +19,7 @@ LANGS = ("de", "en", "es", "fr", "hi", "hi-latn", "pt")
 #: Profiles are fitted on at most about MOST_DOCS documents, from at most MOST_WORDS words a language.
 MOST_DOCS, MOST_WORDS, PROFILE = 20_000, 20_000, 6_000
 #: A segment needs so many words, share of known words and margin to count.
-LEAST_WORDS, LEAST_KNOWN, LEAST_MARGIN = 3, 0.5, 0.04
+LEAST_WORDS, LEAST_KNOWN, LEAST_MARGIN = 3, 0.5, 0.02
 
 #: Spellings of the languages in labels, lower case, without region.
 SPELLINGS = {
