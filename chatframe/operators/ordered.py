@@ -39,37 +39,44 @@ def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float
     """
     if scope not in ("global", "chat"):
         raise ValueError(scope)
-    chat, at = ["_chat"], ["_slice"]
-    keys = chat if scope == "chat" else []
+    keys = ["_chat"] if scope == "chat" else []
     order = ["_us", "_chat", *ties]
     needed = list(dict.fromkeys(["source_file", "sender", *ties]))
     rows = df.select(carried(df, *FEATURES), *needed, micros(F.col("datetime")).alias("_us")).where("_us is not null")
     rows = rows.withColumns({"_slice": F.floor(F.col("_us") / F.lit(slice_s * 1_000_000)).cast("bigint"), "_chat": F.coalesce(F.concat(F.lit("c"), F.col("source_file")), F.lit("n")), "_you": F.coalesce(F.col("sender") == you, F.lit(False))})
-    place = F.struct(*order)
+    this, place = F.struct("_us", "_chat", "sender", "_you"), F.struct(*order)
 
-    # the message before and after, in the slice or in the nearest slices that have any
-    slices = rows.groupBy(*keys, *at).agg(F.min("_us").alias("_first"), F.max_by(F.struct("_us", "_chat", "sender"), place).alias("_last"))
-    by_slice = Window.partitionBy(*keys).orderBy("_slice") if keys else Window.orderBy("_slice")
-    edges = slices.select(*keys, *at, F.lag("_last").over(by_slice).alias("_before"), F.lead("_first").over(by_slice).alias("_after"))
-    inside = Window.partitionBy(*keys, *at).orderBy(*order)
-    seen = rows.join(edges, keys + at).withColumns({"_prev": F.coalesce(F.lag(F.struct("_us", "_chat", "sender")).over(inside), F.col("_before")), "_next": F.coalesce(F.lead("_us").over(inside), F.col("_after"))})
-    seen = seen.withColumns({
-        "timedelta_prev": F.greatest(F.lit(0.0), F.coalesce((F.col("_us") - F.col("_prev._us")) / F.lit(1e6), F.lit(0.0))),
-        "ghosted": ~F.col("_you") & F.coalesce((F.col("_next") - F.col("_us")) / F.lit(1e6) > ghost_s, F.lit(False)),
-        "_turn": (F.col("_prev").isNull() | ~F.col("sender").eqNullSafe(F.col("_prev.sender"))) & ~F.col("_you"),
-    })
-    seen = seen.withColumn("session_break", (F.col("timedelta_prev") > gap_s) | F.col("_prev").isNull() | (F.col("_chat") != F.col("_prev._chat")))
-
-    # turns of others since your last message: a running count less its value there
+    def breaks(row: Column, before: Column) -> Column:
+        return before.isNull() | ((row["_us"] - before["_us"]) / F.lit(1e6) > gap_s) | (row["_chat"] != before["_chat"])
+
+    def turns(row: Column, before: Column) -> Column:
+        return (before.isNull() | ~row["sender"].eqNullSafe(before["sender"])) & ~row["_you"]
+
+    # inside a slice; the first row's own turn and break wait for the slices before
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     sofar = inside.rowsBetween(Window.unboundedPreceding, 0)
-    seen = seen.withColumn("_c", F.sum(F.col("_turn").cast("bigint")).over(sofar)).withColumn("_y", F.max(F.when(F.col("_you"), F.col("_c"))).over(sofar))
-    counts = seen.groupBy(*keys, *at).agg(F.max("_c").alias("_n"), F.max("_y").alias("_ny"))
-    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.withColumn("_c0", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn("_y0", F.max(F.col("_c0") + F.col("_ny")).over(earlier)).select(*keys, *at, "_c0", "_y0")
-    seen = seen.join(shift, keys + at)
-    seen = seen.withColumn("reply_chain_depth", F.col("_c0") + F.col("_c") - F.coalesce(F.col("_c0") + F.col("_y"), F.col("_y0"), F.lit(0)))
+    local = rows.withColumns({"_p": F.lag(this).over(inside), "_n": F.lead("_us").over(inside)})
+    local = local.withColumn("_c", F.sum((F.col("_p").isNotNull() & turns(this, F.col("_p"))).cast("bigint")).over(sofar))
+    local = local.withColumn("_y", F.max(F.when(F.col("_you"), F.col("_c"))).over(sofar))
 
-    # sessions are counted per chat
+    # one row per slice: what comes before and after it, and the counts at its beginning
+    slices = local.groupBy(*keys, "_slice").agg(F.min_by(this, place).alias("_first"), F.max_by(this, place).alias("_last"), F.max("_c").alias("_m"), F.max("_y").alias("_my"))
+    by_slice = Window.partitionBy(*keys).orderBy("_slice") if keys else Window.orderBy("_slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumns({"_before": F.lag("_last").over(by_slice), "_after": F.lead(F.col("_first._us")).over(by_slice)})
+    slices = slices.withColumn("_t", turns(F.col("_first"), F.col("_before")).cast("bigint"))
+    slices = slices.withColumn("_c0", F.coalesce(F.sum(F.col("_m") + F.col("_t")).over(earlier), F.lit(0)) + F.col("_t")).withColumn("_y0", F.max(F.col("_c0") + F.col("_my")).over(earlier))
+    seen = local.join(slices.select(*keys, "_slice", "_before", "_after", "_c0", "_y0"), [*keys, "_slice"])
+    before, after = F.coalesce("_p", "_before"), F.coalesce("_n", "_after")
+    seen = seen.select(
+        "_row", *order, "_slice",
+        F.greatest(F.lit(0.0), F.coalesce((F.col("_us") - before["_us"]) / F.lit(1e6), F.lit(0.0))).alias("timedelta_prev"),
+        breaks(this, before).alias("session_break"),
+        (F.col("_c0") + F.col("_c") - F.coalesce(F.col("_c0") + F.col("_y"), F.col("_y0"), F.lit(0))).alias("reply_chain_depth"),
+        (~F.col("_you") & F.coalesce((after - F.col("_us")) / F.lit(1e6) > ghost_s, F.lit(False))).alias("ghosted"),
+    )
+
+    # sessions are counted per chat, by the same means
     in_chat = Window.partitionBy("_chat", "_slice").orderBy(*order)
     seen = seen.withColumns({"_s": F.sum(F.col("session_break").cast("bigint")).over(in_chat.rowsBetween(Window.unboundedPreceding, 0)), "_nb": F.lead("session_break").over(in_chat)})
     chat_slices = seen.groupBy("_chat", "_slice").agg(F.max("_s").alias("_ns"), F.min_by("session_break", place).alias("_fb"))
