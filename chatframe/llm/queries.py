@@ -108,4 +108,28 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_documents": p10_documents,
 }
-SQL: dict[str, str] = {}
+def _seen(column: str) -> str:
+    return f"lower(regexp_replace(regexp_replace({column}, '{conversations._MARKS}', '', 'g'), '^{conversations.BLANK}+|{conversations.BLANK}+$', '', 'g'))"
+
+
+_SPOKEN = r"""regexp_replace(regexp_extract(text, '(?s)<\|im_start\|>user\n(.*?)<\|im_end\|>', 1), '(?:^|\n)\[[^\n]*\n*$', chr(10)) || chr(10) || regexp_extract(text, '(?s)<\|im_start\|>assistant\n?(.*?)(?:<\|im_end\|>|$)', 1)"""
+
+#: The queries that SQL can express; the others are tested against brute force, round trips and held-out accuracy.
+SQL = {
+    "p1_found": f"""with o as (select distinct {_seen("name")} n from owner_names where name is not null),
+m as (select conversation_id, cast(epoch_us(datetime) as hugeint) * 1000000000 + line_no as t, nullif(nullif({_seen("sender")}, ''), '~') who,
+ coalesce({_seen("text")} <> '' and not regexp_matches({_seen("text")}, '{conversations.NOTICE}'), false) content from enriched where conversation_id is not null),
+a as (select conversation_id, bool_or(content) said, bool_or(content and (who is null or t is null)) broken, min(case when content and who not in (select n from o) then t end) c,
+ max(case when content and who in (select n from o) then t end) y from m group by 1)
+select conversation_id from a where not (said and not broken and coalesce(y > c, false))""",
+    "p6_found": """with recursive d as (select distinct conversation_id c, right(regexp_replace(translate(recipient_phone, '०१२३४५६७८९٠١٢٣٤٥٦٧٨٩', '01234567890123456789'), '[^0-9]', '', 'g'), 10) p from contexts where conversation_id is not null),
+l as (select c, p from d where length(p) = 10 and p <> repeat(left(p, 1), 10)),
+e as (select distinct x.c a, y.c b from l x join l y using (p)),
+r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
+select a conversation_id, min(b) group_id from r group by a having count(distinct b) > 1""",
+    "p7_found": f"""with r as (select sample_id, 'train' split, text from train union all select sample_id, 'val', text from val union all select sample_id, 'test', text from test),
+w as (select sample_id, split, list_distinct(regexp_extract_all(lower({_SPOKEN}), '[\\p{{L}}\\p{{N}}]+')) w from (select distinct * from r) where text is not null),
+k as (select sample_id, split, len(w) n, unnest(w) x from w where len(w) >= 20),
+p as (select a.sample_id i, b.sample_id j, count(*) c, min(a.n) n, min(b.n) m from k a join k b on a.x = b.x and a.split <> b.split and a.sample_id < b.sample_id group by 1, 2)
+select i id_a, j id_b from p where c * 10 >= 7 * least(n, m)""",
+}
