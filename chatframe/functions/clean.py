@@ -24,6 +24,7 @@ NSFW_WORDS = {
 #: What stands for a medium that was not exported (the first as it is, the second in any case).
 MEDIA_EXACT, MEDIA_ANY_CASE = "<Media omitted>", "image omitted"
 
+#: What is removed and masked.
 DEVANAGARI = r"[\x{0900}-\x{097F}]+"
 URL = rf"https?://[^{WS}]+|www\.[^{WS}]+"
 PHONE = rf"(\+91|0)?[6-9]{D}" + "{9}"

@@ -23,8 +23,8 @@ MONTHS = {
 #: Zero of each decimal digit block that chats use (Arabic, Persian, Devanagari, Bengali, full width).
 DIGIT_ZEROS = (0x0660, 0x06F0, 0x0966, 0x09E6, 0xFF10)
 #: Marks that are not seen.
-INVISIBLE = "­؜᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿"
-_BLANKS = "\t\n\x0b\x0c\r  " + "".join(map(chr, range(0x2000, 0x200B))) + "    　"
+INVISIBLE = "\u00ad\u061c\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufeff"
+_BLANKS = "\t\n\x0b\x0c\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 #: Between the fields of a value that was taken apart.
 _MARK = "\x01"

@@ -15,6 +15,7 @@ SYSTEM_MARKERS = (
     "messages and calls are end-to-end encrypted", "this message was deleted", "you deleted this message", "missed voice call", "missed video call", "created group",
     "added you", "left", "changed the group", "changed their phone number", "your security code with",
 )
+#: The form of a header line, and of a notice's.
 HEADER = rf"^({D}{{1,2}}/{D}{{1,2}}/{D}{{2,4}}),[{WS}]*({D}{{1,2}}:{D}{{2}}(?:[{WS}]*[AaPp][Mm])?)[{WS}]*-[{WS}]*([^:]+):[{WS}](.*)$"
 NOTICE_HEADER = rf"^{D}{{1,2}}/{D}{{1,2}}/{D}{{2,4}},[{WS}]*{D}{{1,2}}:{D}{{2}}(?:[{WS}]*[AaPp][Mm])?[{WS}]*-[{WS}]"
 
@@ -52,7 +53,7 @@ def fold_lines(lines: DataFrame, drop_headerless_notices: bool = False) -> DataF
     the first header, and a message with an impossible date or of the app, is dropped with its continuation. Notices
     without a colon continue the message before, unless drop_headerless_notices.
     """
-    line = F.translate("line", "  ", "  ")
+    line = F.translate("line", "\u202f\u00a0", "  ")
     marked = lines.select("source_file", "pos", line.alias("line"), line.rlike(HEADER).alias("_head"))
     if drop_headerless_notices:
         marked = marked.where(F.col("_head") | ~F.col("line").rlike(NOTICE_HEADER))
@@ -73,7 +74,7 @@ def read_lines(spark: SparkSession, path: str, keep_bom: bool = False) -> DataFr
     stem = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))), r"\.[^.]+$", "")
     whole = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select(stem.alias("source_file"), F.make_valid_utf8("value").alias("value"))
     if not keep_bom:
-        whole = whole.withColumn("value", F.regexp_replace("value", "^﻿", ""))
+        whole = whole.withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
     return whole.select("source_file", F.posexplode(F.split("value", LINE_BREAK)).alias("pos", "line"))
 
 

@@ -139,6 +139,8 @@ def test_fold(spark):
     assert got[("b", 5)]["datetime"] == datetime(2024, 2, 1, 22, 15)
     assert "joined" not in "".join(r["text"] for r in fold_lines(lines, drop_headerless_notices=True).collect())
     assert fold_lines(lines.limit(0)).count() == 0
+    odd = fold_lines(spark.createDataFrame([("f", 0, "1/2/2024, 10:15\u202fpm - A: x\u00a0y")], "source_file string, pos int, line string")).first()
+    assert (odd["datetime"], odd["text"]) == (datetime(2024, 2, 1, 22, 15), "x y")
 
 
 @pytest.mark.parametrize(("d", "t", "want"), [
