@@ -26,11 +26,11 @@ SPELLINGS = {
     "de": "de deu ger german deutsch", "en": "en eng english inglés englisch", "es": "es spa spanish español espanol castellano", "fr": "fr fra fre french français francais",
     "hi": "hi hin hindi hi-deva हिन्दी हिंदी", "hi-latn": "hi-latn hin-latn hinglish", "pt": "pt por portuguese português portugues",
 }
-_PREFIX = re.compile(r"^[\s‎‏﻿]*(?:\[?\d{1,4}[./-]\d{1,2}[./-]\d{1,4},? \d{1,2}:\d{2}(?::\d{2})?(?: ?[apAP]\.?[mM]\.?)?\]?(?: -)? ?)?(?:[^\s:<>{}\"“”?!,.][^:\n<>{}\"?!]{0,30}: (?=\S))?")
+_PREFIX = re.compile(r"^[\s\u200e\u200f\ufeff]*(?:\[?\d{1,4}[./-]\d{1,2}[./-]\d{1,4},? \d{1,2}:\d{2}(?::\d{2})?(?: ?[apAP]\.?[mM]\.?)?\]?(?: -)? ?)?(?:[^\s:<>{}\"“”?!,.][^:\n<>{}\"?!]{0,30}: (?=\S))?")
 _CODE = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|<\|[^|>\n]*\|>|[@#]\w+|^\s*[{\[].*[}\]]\s*$", re.M)
-_NOTICE = re.compile(r"^[\s‎<]*(?:(?:media|image|video|audio|sticker|gif|document|contact card|photo|file|voice message) omitted|this message was deleted|you deleted this message|missed (?:voice|video|group) call|messages and calls are end-to-end encrypted.*)[\s>.]*$", re.I)
+_NOTICE = re.compile(r"^[\s\u200e<]*(?:(?:media|image|video|audio|sticker|gif|document|contact card|photo|file|voice message) omitted|this message was deleted|you deleted this message|missed (?:voice|video|group) call|messages and calls are end-to-end encrypted.*)[\s>.]*$", re.I)
 _SENTENCE = re.compile(r"[.!?।…]+[\"'”)»]*(?=\s|$)|(?<=[^\W\d_])\.{2,}| [-–—] ")
-_TOKEN = re.compile(r"[^\W\d_](?:[\w'’ऀ-ॿ]|‍(?=[ऀ-ॿ]))*")
+_TOKEN = re.compile(r"[^\W\d_](?:[\w'’ऀ-ॿ]|\u200d(?=[ऀ-ॿ]))*")
 
 
 def segments(text: str) -> Iterator[tuple[int, int]]:
