@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 
@@ -34,7 +35,13 @@ def tasks(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over at least as many tasks as there are cores, for work that is heavier than its data; usually df itself."""
+    """df over at least as many tasks as there are cores, for work that is heavier than its data; usually df itself.
+
+    Only plans that read and project are looked at: asking a plan with a shuffle for its partitions would run it.
+    """
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    if re.search("Exchange|Aggregate|Join|Window|Sort|Limit", plan):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
