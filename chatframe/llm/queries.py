@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import table, tasks
 from . import abuse, conversations, groups, languages, overlap, packing, personal, tokens
 
 
@@ -18,10 +18,15 @@ def p1_turns(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.rebuild(table(spark, folder, "enriched"), table(spark, folder, "owner_names"))
 
 
+def _once(parsed: DataFrame, *columns: str) -> DataFrame:
+    """Each message once; one exchange, whose tasks then do the heavier work."""
+    return parsed.select(*columns).repartition(tasks(parsed.sparkSession), "msg_id").distinct()
+
+
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     parsed = table(spark, folder, "parsed")
     model = abuse.train(parsed, table(spark, folder, "labels"), table(spark, folder, "nsfw_words"))
-    return abuse.score(parsed.select("msg_id", "source_file", "text").distinct(), model)
+    return abuse.score(_once(parsed, "msg_id", "source_file", "text"), model)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +48,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    return personal.redact(table(spark, folder, "parsed").select("msg_id", "text").distinct(), _names(spark, folder))
+    return personal.redact(_once(table(spark, folder, "parsed"), "msg_id", "text"), _names(spark, folder))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
