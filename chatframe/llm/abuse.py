@@ -23,7 +23,7 @@ from ..runtime import spread
 
 #: Bounds of what is collected for training.
 MOST_LABELS, MOST_UNLABELLED = 20_000, 20_000
-PRIOR_START, CLEAN_SHARE, EPOCHS, RATE, DECAY = 0.05, 0.5, 20, 0.5, 2e-6
+PRIOR_START, CLEAN_SHARE, EPOCHS, RATE, DECAY, FOLDS = 0.05, 0.5, 20, 0.5, 2e-6, 3
 
 #: Letters that look like Latin ones, and signs that stand for letters inside words.
 LOOKALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ј": "j", "ѕ": "s", "һ": "h", "ԁ": "d", "ɡ": "g", "ո": "n", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "α": "a", "ε": "e", "ι": "i", "ο": "o", "ρ": "p", "υ": "u", "ν": "v", "κ": "k", "τ": "t", "ı": "i"}
@@ -100,14 +100,18 @@ class Model:
         return float(1 / (1 + np.exp(-(self.bias + sum(self.weight.get(x, 0.0) for x in f))))) if f else 0.0
 
 
-def _train(rows: list[list[int]], kind: np.ndarray, n: int, seed: int = 7) -> tuple[np.ndarray, float, float]:
-    """Weights, bias and class prior; kind 1 abusive, 0 clean, -1 unlabelled. Adagrad on mini-batches of all kinds."""
+def _train(rows: list[list[int]], kind: np.ndarray, n: int, seed: int = 7, prior: float = PRIOR_START, held: np.ndarray | None = None) -> tuple[np.ndarray, float, float]:
+    """Weights, bias and class prior; kind 1 abusive, 0 clean, -1 unlabelled. Adagrad on mini-batches of all kinds.
+
+    Judged rows whose place is in held are left out of training. From them the prior is estimated: where the mean score of
+    the unlabelled lies between the held-out clean and abusive ones. Without them the given prior stays.
+    """
     rng = np.random.default_rng(seed)
     lens = np.array([len(r) for r in rows])
     flat, at = np.concatenate([np.asarray(r, np.int64) for r in rows]) if rows else np.empty(0, np.int64), np.concatenate([[0], np.cumsum(lens)])
     w, g2, b, gb = np.zeros(n), np.full(n, 1e-2), -2.0, 1e-2
-    pos, neg, unl = (np.flatnonzero(kind == k) for k in (1, 0, -1))
-    prior = PRIOR_START
+    pos, neg, unl = (np.setdiff1d(np.flatnonzero(kind == k), held if held is not None else []) for k in (1, 0, -1))
+    apart = [held[kind[held] == k] for k in (1, 0)] if held is not None else []
     if not len(flat):
         return w, b, prior
 
@@ -143,12 +147,37 @@ def _train(rows: list[list[int]], kind: np.ndarray, n: int, seed: int = 7) -> tu
             w -= RATE * grad / np.sqrt(g2 + 1e-8)
             gb += d.sum() ** 2
             b -= RATE * d.sum() / np.sqrt(gb)
-        if len(unl) and len(pos) and epoch >= 2:  # the share that the model finds among the unlabelled, within sane bounds
-            found = 1 / (1 + np.exp(-logits(unl)[0]))
-            prior = float(np.clip(0.5 * prior + 0.5 * found.mean(), 0.01, 0.1))
+        if len(unl) and apart and all(map(len, apart)) and epoch >= 2:
+            unknown, bad, good = (float((1 / (1 + np.exp(-logits(x)[0]))).mean()) for x in (unl, *apart))
+            if bad > good:
+                prior = float(np.clip(0.5 * prior + 0.5 * (unknown - good) / (bad - good), 0.01, 0.99))
     return w, b, prior
 
 
+def _held_out(rows: list[list[int]], kind: np.ndarray, n: int) -> tuple[np.ndarray, float]:
+    """Scores of the judged texts, which come first, each by a training without its fold of them; the mean prior."""
+    judged = np.flatnonzero(kind >= 0)
+    fold = np.empty(len(judged), int)
+    for k in (0, 1):  # both kinds evenly over the folds
+        at = kind[judged] == k
+        fold[at] = np.arange(at.sum()) % FOLDS
+    scores, priors = np.zeros(len(judged)), []
+    for f in range(FOLDS):
+        held = judged[fold == f]
+        w, b, prior = _train(rows, kind, n, held=held)
+        scores[held] = [1 / (1 + np.exp(-(b + w[rows[i]].sum()))) for i in held]
+        priors.append(prior)
+    return scores, float(np.mean(priors))
+
+
+def _cut(s: np.ndarray, y: np.ndarray, prior: float) -> float:
+    """The lowest cut that serves scores s of judgements y about best, with the abusive ones weighed down to the prior."""
+    weigh = np.where(y == 1, prior / (y == 1).mean(), (1 - prior) / (y == 0).mean())
+    cuts = np.linspace(0.02, 0.98, 97)
+    good = np.array([2 * weigh[(s >= c) & (y == 1)].sum() / (weigh[s >= c].sum() + weigh[y == 1].sum()) for c in cuts])
+    return float(cuts[good >= good.max() - 0.01].min())
+
+
 def fit(labelled: list[tuple[str, int]], unlabelled: list[str], listed: list[str]) -> Model:
     """A model from judged texts, unlabelled texts and a word list, whose words are only spellings to look out for.
 
@@ -169,23 +198,15 @@ def fit(labelled: list[tuple[str, int]], unlabelled: list[str], listed: list[str
         names = [f for f in dict.fromkeys([*judged, *free]) if judged[f] + free[f] >= 3 and judged[f]]
         place = {f: i for i, f in enumerate(names)}
         rows = [[place[f] for f in fs if f in place] for fs in feats]
-        w, b, prior = _train(rows, kind, len(names))
+        held, prior = _held_out(rows, kind, len(names)) if {0, 1} <= set(kind.tolist()) else (None, PRIOR_START)
+        w, b, _ = _train(rows, kind, len(names), prior=prior)
         model.weight, model.bias = {f: float(x) for f, x in zip(names, w) if abs(x) > 1e-3}, float(b)
         if not turn:
             bad = Counter(f for fs, k in zip(feats, kind) if k == 1 for f in fs)
             telling = [f for f in names if " " not in f and len(f) > 3 and model.weight.get(f, 0) > 0.2 and bad[f] >= 3 and bad[f] > 0.7 * judged[f]]
             marked = list(dict.fromkeys([*marked, *sorted(telling, key=lambda f: (-bad[f], f))[:200]]))
-    # the lowest cut that serves the judged texts about best, with the abusive ones weighed down to the prior
-    if (kind == 1).any() and (kind == 0).any():
-        s = np.array([model.score(t) for t, _ in labelled])
-        y = kind[: len(labelled)]
-        weigh = np.where(y == 1, prior / max((y == 1).mean(), 1e-9), (1 - prior) / max((y == 0).mean(), 1e-9))
-        cuts = np.linspace(0.05, 0.8, 61)
-        good = [2 * weigh[(s >= c) & (y == 1)].sum() / (weigh[s >= c].sum() + weigh[y == 1].sum()) for c in cuts]
-        cut = float(cuts[np.array(good) >= max(good) - 0.01].min())
-        if unlabelled:  # few judgements are fitted too well: not many more than the prior may pass among the unlabelled
-            cut = max(cut, float(np.quantile([model.score(t) for t in unlabelled], 1 - 1.5 * prior)))
-        model.threshold = min(cut, 0.95)
+    if held is not None:
+        model.threshold = _cut(held, kind[: len(labelled)], prior)
     return model
 
 

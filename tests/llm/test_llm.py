@@ -179,6 +179,20 @@ def test_abuse_on_held_out_texts(spark):
     assert abuse.fit([], [], []).score("x") < 0.5
 
 
+def test_abuse_beyond_a_tenth_of_the_messages():
+    rng = random.Random(6)
+    insult = lambda: f"{rng.choice(['you are a', 'what a', 'get lost you'])} {rng.choice(['blorp', 'snark', 'grimp'])}"
+    clean = lambda: f"{rng.choice(['please bring', 'i saw', 'we need', 'what a'])} the {rng.choice(['lamp', 'book', 'car', 'tea', 'sofa'])} {rng.choice(['today', 'later', 'again'])}"
+    make = lambda n, share: [(f"{clean()}. {insult()}", 1) if rng.random() < share else (clean(), 0) for _ in range(n)]
+    for judged, share in ((1500, 0.4), (200, 0.4), (600, 0.6)):
+        noisy = [(t, 1 - y if rng.random() < 0.03 else y) for t, y in make(judged, 0.25)]
+        model = abuse.fit(noisy, [t for t, _ in make(2000, share)], ["blorp"])
+        held = make(1000, share)
+        hits = [model.score(t) >= model.threshold for t, _ in held]
+        tp = sum(h and y for h, (_, y) in zip(hits, held))
+        assert tp / sum(hits) > 0.9 and tp / sum(y for _, y in held) > 0.9, (judged, share)
+
+
 def brute(rows):
     import re
 
