@@ -70,6 +70,12 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return overlap.contained_pairs(_splits(spark, folder)).select("id_a", "id_b")
 
 
+def p7_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Records and pairs of p7_found per pair of splits and source_file."""
+    records = _splits(spark, folder)
+    return overlap.contained_counts(records, overlap.contained_pairs(records))
+
+
 def p7_overlap(spark: SparkSession, folder: str) -> DataFrame:
     """Records per pair of splits and source_file, those that share half and nine tenths of their text, mean share."""
     o = overlap.chunk_overlap(_splits(spark, folder), ("train", "val", "test"))
@@ -107,6 +113,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_splits": p6_splits,
     "p7_found": p7_found,
+    "p7_counts": p7_counts,
     "p7_overlap": p7_overlap,
     "p8_ids": p8_ids,
     "p9_containers": p9_containers,

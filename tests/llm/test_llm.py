@@ -230,6 +230,26 @@ def test_contained_pairs(spark):
     assert overlap.contained_pairs(df.limit(0)).count() == 0
 
 
+def test_contained_counts(spark):
+    from chatframe.llm.queries import QUERIES
+
+    assert "p7_counts" in QUERIES
+    rng = random.Random(12)
+    text = lambda ws: f"<|im_start|>user\n{' '.join(ws)}\n[m]\n<|im_end|>\n<|im_start|>assistant\nok<|im_end|>"
+    rows = [(i, rng.choice(["train", "train", "val", "test"]), rng.choice(["f", "g", None]), text(rng.sample([f"w{k}" for k in range(60)], 35 if i % 2 else 22))) for i in range(60)]
+    rows += [(100, "train", "f", text([f"x{k}" for k in range(30)])), (101, "val", "g", text([f"x{29 - k}" for k in range(30)]))]
+    df = spark.createDataFrame(rows + rows[:5], "sample_id bigint, split string, source_file string, text string").distinct()
+    of, want = {i: (s, f) for i, s, f, _ in rows}, defaultdict(list)
+    for a, b in brute([(i, s, t) for i, s, _, t in rows]):
+        for x, y in ((a, b), (b, a)):
+            want[(of[x][0], of[y][0], of[x][1])].append(x)
+    got = {(r["split"], r["other"], r["source_file"]): (r["n_records"], r["n_pairs"]) for r in overlap.contained_counts(df, overlap.contained_pairs(df)).collect()}
+    assert got == {k: (len(set(v)), len(v)) for k, v in want.items()} and ("val", "train", "g") in got and len(got) > 6
+    assert overlap.contained_counts(df.limit(0), overlap.contained_pairs(df.limit(0))).count() == 0
+    # the reordered record is no chunk's copy, so the shares by chunks alone miss it
+    assert all(r["overlap"] < 0.5 for r in overlap.chunk_overlap(df, ("train", "val", "test")).where("sample_id = 101 and other = 'train'").collect())
+
+
 def test_chunk_overlap(spark):
     rng = random.Random(9)
     text = lambda ws: f"<|im_start|>user\n{' '.join(ws)}\n[m]\n<|im_end|>\n<|im_start|>assistant\nok<|im_end|>"
