@@ -79,7 +79,8 @@ ADDRESS = [
     re.compile(rf"(?<![\w/-])\d+[a-z]?(?:[-/]\d+[a-z]?)*,? (?:{_PLACE} ){{1,2}}(?:{_any(STREETS)})\b(?:,? {_PLACE}(?: ?-? ?\d{{5,6}})?)?"),
     re.compile(rf"(?<![\w/-])\d+[a-z]?(?:[-/]\d+)*,? (?:{_any(ROMANCE_STREETS)}) (?:d[eu]s? )?{_PLACE}(?: {_PLACE})?(?:, {_PLACE})?"),
     re.compile(rf"(?<!\w)(?:{_any(ROMANCE_STREETS)}) (?:d[eu]s? )?(?:{_PLACE} ){{1,3}}(?:n[º°o]\.? ?)?\d+[a-z]?(?:, \d+[ºª°]? ?[a-z]\b)?(?:, {_PLACE})?"),
-    re.compile(rf"(?<!\w)(?:{_PLACE}(?:{_any(GERMAN_STREETS)})|{_PLACE} (?:weg|straße|strasse|gasse|platz|allee))\.? \d+[a-z]?(?:, \d{{5}} {_PLACE})?"),
+    # a dot after ...ring ends a sentence ("it was boring. 35 came")
+    re.compile(rf"(?<!\w)(?:{_PLACE}(?:{_any(GERMAN_STREETS)})|{_PLACE} (?:weg|straße|strasse|gasse|platz|allee))(?:(?<!ring)\.)? \d+[a-z]?(?:, \d{{5}} {_PLACE})?"),
 ]
 #: A street word before the number must not be an ordinary sentence: what stands between number and street word.
 _ORDINARY = re.compile(r"\b(?:the|on|is|at|was|were|pe|ka|ki|mein|people|rupees|and|to|of|from|in|for|near|minutes|days|grams|packets|years|hours|went|was|tyre)\b")
@@ -130,12 +131,13 @@ class Finder:
 
         add("email", "@", " at ", "[at]", "(at)")
         add("number", *"0123456789")
-        add("spelt", *(w + " " for w in DIGIT_WORDS.split()))
-        add("address", *(f" {w}" for w in STREETS.split() if len(w) > 2), *(f"{w} " for w in GERMAN_STREETS.split()), *(f"{w} " for w in ROMANCE_STREETS.split()))
+        whole = {f" {w}" for w in STREETS.split()}  # short words among them, so what follows must end the word, as the parsers want it
+        add("spelt", *(w + sep for w in DIGIT_WORDS.split() for sep in " ,-"))
+        add("address", *whole, *(f"{w}{dot} " for w in GERMAN_STREETS.split() for dot in ("", ".")), *(f"{w} " for w in ROMANCE_STREETS.split()))
         add("person", *(w for w in TITLES.split()), *(g + " " for g in given))
         self.automaton = ahocorasick.Automaton()
         for w, kinds in anchors.items():
-            self.automaton.add_word(w, (len(w), tuple(kinds)))
+            self.automaton.add_word(w, (len(w), tuple(kinds), w in whole))
         self.automaton.make_automaton()
         self.title = re.compile(rf"(?<!\w)(?:{_any(TITLES)})\.? +(?:[a-z]\.? +)?({'|'.join(map(re.escape, sorted(family))) or '(?!)'})(?!\w)(?! (?:{_any(NOT_A_PERSON)})\b)")
         self.titled = re.compile(rf"\b(?:{'|'.join(t.capitalize() for t in TITLES.split())})\.? +(?:[A-Z]\.? +)?[A-Z][^\W\d_]+(?:[-'’][A-Z][^\W\d_]+)?\b")
@@ -143,7 +145,9 @@ class Finder:
 
     def _windows(self, low: str) -> dict[str, list[tuple[int, int]]]:
         out: dict[str, list[tuple[int, int]]] = {}
-        for end, (length, kinds) in self.automaton.iter(low):
+        for end, (length, kinds, whole) in self.automaton.iter(low):
+            if whole and end + 1 < len(low) and (low[end + 1].isalnum() or low[end + 1] == "_"):
+                continue
             a, b = max(0, end - length + 1 - BEFORE), min(len(low), end + 1 + AFTER)
             for k in kinds:
                 runs = out.setdefault(k, [])

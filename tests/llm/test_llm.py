@@ -155,6 +155,19 @@ def test_personal_information(spark):
     assert personal.find(df.limit(0), names).count() == 0
 
 
+def test_accepted_forms_open_windows():
+    f = personal.Finder(["Nilora Velmani"])
+    forms = [(f"12 Baker {w}", "address") for w in personal.STREETS.split()] + [("45 MG Rd, Pune", "address"), ("7 Park Ln.", "address"), ("flat 7, Baker St", "address")]
+    forms += [(f"Haupt{w}{dot} 12", "address") for w in personal.GERMAN_STREETS.split() for dot in ("", ".") if w + dot != "ring."]
+    forms += [(f"{w} Thornvale 74", "address") for w in personal.ROMANCE_STREETS.split()]
+    digits = "nine eight seven six five four three two one zero".split()
+    forms += [(sep.join(digits), "phone") for sep in (" ", "-", ", ", ",", " - ")]
+    for text, kind in forms:
+        assert [k for *_, k in f.items(text)] == [kind], text
+    for text in ("12 Baker stops", "7 Park lnx", "the 21 st", "nine, eight and ten", "it looked boring. 35 people came"):
+        assert f.items(text) == [], text
+
+
 def test_disguises():
     assert abuse.words("D.U.M.B naaaked w@nk3r p r i c k хаs 77") [:2] == ["dumb", "naked"]
     assert {"wanker", "prick", "0"} <= set(abuse.words("D.U.M.B naaaked w@nk3r, p r i c k хаs 77"))
