@@ -75,9 +75,13 @@ def gap_limits(said: DataFrame, *, bins: int = 120, least_s: int = 900, most_s:
     """The calibrated inactivity gap of all chats, one row gap_us: the emptiest place between least_s and most_s in the
     histogram of log2 gaps (bins of a tenth of an octave), smoothed over five bins. Histogram and result are bounded.
     """
-    w = Window.partitionBy("conversation_id", "day").orderBy("at_us", "line_no", "msg_id")
-    # gaps inside a day's slice; those across midnight do not change a valley
-    gaps = said.where("at_us is not null").withColumn("day", F.floor(F.col("at_us") / 86_400_000_000)).select((F.col("at_us") - F.lag("at_us").over(w)).alias("gap")).where("gap > 0")
+    day, at = Window.partitionBy("conversation_id", "day"), F.col("at_us")
+    timed = said.where("at_us is not null").withColumn("day", F.floor(at / 86_400_000_000))
+    inside = timed.select((at - F.lag("at_us").over(day.orderBy("at_us", "line_no", "msg_id"))).alias("gap"))
+    # gaps across midnight, from the edges of the days: one row a day of a conversation
+    days = timed.groupBy("conversation_id", "day").agg(F.min("at_us").alias("first"), F.max("at_us").alias("last"))
+    across = days.select((F.col("first") - F.lag("last").over(Window.partitionBy("conversation_id").orderBy("day"))).alias("gap"))
+    gaps = inside.unionByName(across).where("gap > 0")
     hist = gaps.groupBy(F.floor(F.log2(F.col("gap") / 1e6) * 10).cast("int").alias("bin")).count()
     lo, hi = (int(math.log2(s) * 10) for s in (least_s, most_s))
     every = said.sparkSession.range(lo - 2, hi + 3).select(F.col("id").cast("int").alias("bin")).join(F.broadcast(hist), "bin", "left").na.fill(0, ["count"])

@@ -51,6 +51,17 @@ def test_turns(spark, owners):
     assert conversations.rebuild(spark.createDataFrame([], ENRICHED), owners).count() == 0
 
 
+def test_gaps_across_midnight_count(spark):
+    hole, day, rows = 154, 86_400_000_000, []
+    for b in range(94, 168):  # a gap in every bin but five; those of more than eight hours run across midnight
+        if abs(b - hole) > 2:
+            gap = int(2 ** ((b + 0.5) / 10) * 1e6)
+            start = 600_000_000 if gap < day // 3 else day - 3_600_000_000
+            rows += [(b, f"c{b}", 1, start), (b + 1000, f"c{b}", 2, start + gap)]
+    said = spark.createDataFrame([*rows, (1, "n", 1, None)], "msg_id bigint, conversation_id string, line_no bigint, at_us bigint")
+    assert conversations.gap_limits(said).collect()[0]["gap_us"] == int(2 ** ((hole + 0.5) / 10) * 1e6)
+
+
 def test_components_of_a_long_chain(spark):
     pairs = [(f"n{i:03}", f"n{i + 1:03}") for i in range(90)] + [("x", "y"), ("z", "z"), (None, "q"), ("x", "y")]
     random.Random(1).shuffle(pairs)
