@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table, tasks
+from ..runtime import cut, table, tasks
 from . import abuse, conversations, groups, languages, overlap, packing, personal, tokens
 
 
@@ -90,6 +90,12 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(tokens.lengths(table(spark, folder, "documents")))
 
 
+def p9_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether every text is in the containers once, whole where it fits."""
+    sizes = cut(tokens.lengths(table(spark, folder, "documents")))
+    return packing.totals(packing.pack(sizes), sizes)
+
+
 def _languages(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return languages.identify(documents, languages.fit(documents))
@@ -117,6 +123,7 @@ QUERIES = {
     "p7_overlap": p7_overlap,
     "p8_ids": p8_ids,
     "p9_containers": p9_containers,
+    "p9_whole": p9_whole,
     "p10_found": p10_found,
     "p10_documents": p10_documents,
 }
@@ -144,4 +151,5 @@ w as (select sample_id, split, list_distinct(regexp_extract_all(lower({_SPOKEN})
 k as (select sample_id, split, len(w) n, unnest(w) x from w where len(w) >= 20),
 p as (select a.sample_id i, b.sample_id j, count(*) c, min(a.n) n, min(b.n) m from k a join k b on a.x = b.x and a.split <> b.split and a.sample_id < b.sample_id group by 1, 2)
 select i id_a, j id_b from p where c * 10 >= 7 * least(n, m)""",
+    "p9_whole": "select count(*) n_items, cast(0 as bigint) n_cut, cast(0 as bigint) n_wrong, cast(0 as bigint) n_overfull from documents where text <> ''",
 }

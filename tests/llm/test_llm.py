@@ -138,6 +138,21 @@ def test_packing(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id bigint, n_tokens bigint")).count() == 0
 
 
+def test_packing_leaves_no_task_with_all_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(packing, "cut", lambda df: seen.append(df.count()) or df.cache())
+    sizes = spark.range(4000).selectExpr("id as doc_id", "cast(if(id = 7, 10, 1229) as bigint) as n_tokens").repartition(16)
+    rows = packing.pack(sizes).collect()
+    assert len(rows) == 4000 and len({r["container_id"] for r in rows}) == 3999
+    assert seen[0] == 3999 and max(seen[1:]) <= 4  # later rounds hold only what can gain
+    assert packing.helped({1229: 100, 10: 1}, 2048) == {10: 1.0, 1229: 0.01}
+
+
+def test_packing_totals(spark):
+    sizes = spark.createDataFrame([(1, 5000), (2, 40), (3, 2048), (4, 0), (5, None)], "doc_id bigint, n_tokens bigint")
+    assert packing.totals(packing.pack(sizes), sizes).first().asDict() == {"n_items": 3, "n_cut": 0, "n_wrong": 0, "n_overfull": 0}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=40))
 def test_best_fit(sizes):
