@@ -7,29 +7,33 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import spread
+from ..runtime import cut, spread
+from .tokens import slices
 
 LANGS = ("de", "en", "es", "fr", "hi", "hi-latn", "pt")
 #: Profiles are fitted on at most about MOST_DOCS documents, from at most MOST_WORDS words a language.
 MOST_DOCS, MOST_WORDS, PROFILE = 20_000, 20_000, 6_000
-#: A segment needs so many words, share of known words and margin to count.
-LEAST_WORDS, LEAST_KNOWN, LEAST_MARGIN = 3, 0.5, 0.02
+#: A segment of so many words needs this share of known words and this margin to count, a shorter one all words known and the last.
+LEAST_WORDS, LEAST_KNOWN, LEAST_MARGIN, SHORT_MARGIN = 3, 0.5, 0.02, 0.1
+#: Characters that are judged at once, and words whose n-grams are remembered; neither affects the result.
+MOST_LETTERS, MOST_KEPT = 300_000, 300_000
 
 #: Spellings of the languages in labels, lower case, without region.
 SPELLINGS = {
     "de": "de deu ger german deutsch", "en": "en eng english inglés englisch", "es": "es spa spanish español espanol castellano", "fr": "fr fra fre french français francais",
     "hi": "hi hin hindi hi-deva हिन्दी हिंदी", "hi-latn": "hi-latn hin-latn hinglish", "pt": "pt por portuguese português portugues",
 }
-_PREFIX = re.compile(r"^[\s\u200e\u200f\ufeff]*(?:\[?\d{1,4}[./-]\d{1,2}[./-]\d{1,4},? \d{1,2}:\d{2}(?::\d{2})?(?: ?[apAP]\.?[mM]\.?)?\]?(?: -)? ?)?(?:[^\s:<>{}\"“”?!,.][^:\n<>{}\"?!]{0,30}: (?=\S))?")
-_CODE = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|<\|[^|>\n]*\|>|[@#]\w+|^\s*[{\[].*[}\]]\s*$", re.M)
-_NOTICE = re.compile(r"^[\s\u200e<]*(?:(?:media|image|video|audio|sticker|gif|document|contact card|photo|file|voice message) omitted|this message was deleted|you deleted this message|missed (?:voice|video|group) call|messages and calls are end-to-end encrypted.*)[\s>.]*$", re.I)
+_PREFIX = re.compile(r"^[\s\u200e\u200f\ufeff]*(?:\[?\d{1,4}[./-]\d{1,2}[./-]\d{1,4},?\s+\d{1,2}:\d{2}(?::\d{2})?(?:\s*[apAP]\.?[mM]\.?)?\]?(?:\s+-)?\s*)?(?:[^\s:<>{}\"“”?!,.][^:\n<>{}\"?!]{0,30}:\s+(?=\S))?")
+_CODE = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|<\|[^|>\n]*\|>|[@#]\w+|^\s*[{\[]\s*[\"'{\[\d].*[}\]]\s*$", re.M)
+_NOTICE = re.compile(r"^[\s\u200e<]*(?:(?:media|image|video|audio|sticker|gif|document|contact\s+card|photo|file|voice\s+message)\s+omitted|this\s+message\s+was\s+deleted|you\s+deleted\s+this\s+message|missed\s+(?:voice|video|group)\s+call|messages\s+and\s+calls\s+are\s+end-to-end\s+encrypted.*)[\s>.]*$", re.I)
 _SENTENCE = re.compile(r"[.!?।…]+[\"'”)»]*(?=\s|$)|(?<=[^\W\d_])\.{2,}| [-–—] ")
+_SOUND = re.compile(r"(.)\1{3,}|(..)\2+.?")
 _TOKEN = re.compile(r"[^\W\d_](?:[\w'’ऀ-ॿ]|\u200d(?=[ऀ-ॿ]))*")
 
 
@@ -51,75 +55,132 @@ def segments(text: str) -> Iterator[tuple[int, int]]:
 
 
 def tokens(text: str) -> list[str]:
-    """Lower-case words, links, addresses, markers and code left out."""
-    return _TOKEN.findall(unicodedata.normalize("NFC", _CODE.sub(" ", text)).lower())
+    """Lower-case words; links, addresses, markers, code and drawn-out sounds (hahaha, aaaa) left out."""
+    words = _TOKEN.findall(unicodedata.normalize("NFC", _CODE.sub(" ", text)).lower())
+    return [w for w in words if len(w) < 4 or not _SOUND.fullmatch(w)]
 
 
 def _ngrams(word: str) -> list[str]:
+    """Parts of two and three letters, and the word itself, which counts as often as three parts."""
     padded = f"_{word}_"
-    return [padded[i : i + n] for n in (1, 2, 3, 4) for i in range(len(padded) - n + 1) if padded[i : i + n] != "_"] + [f" {word}"] * 3
+    return [padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1)] + [f" {word}"] * 3
 
 
-@dataclass
 class Profiles:
-    """Ranks of the PROFILE most frequent n-grams (word parts of one to four letters and whole words) of each language."""
+    """Ranks of the PROFILE most frequent n-grams of each language; distances of segments to them, many at a time."""
 
-    rank: dict[str, dict[str, int]] = field(default_factory=dict)
-    _words: dict[str, tuple] = field(default_factory=dict)
+    def __init__(self, rank: dict[str, dict[str, int]] | None = None):
+        self.rank = rank or {}
+        self.place = {g: i for i, g in enumerate(dict.fromkeys(g for la in LANGS for g in self.rank.get(la, ())))}
+        #: log1p of the rank by n-gram and language; the last row stands for n-grams of no profile
+        self.log = np.full((len(self.place) + 1, len(LANGS)), math.log1p(PROFILE), np.float32)
+        for j, la in enumerate(LANGS):
+            for g, i in self.rank.get(la, {}).items():
+                self.log[self.place[g], j] = math.log1p(i)
+        self._forget()
+
+    def __getstate__(self) -> dict:
+        return self.rank
+
+    def __setstate__(self, rank: dict) -> None:
+        self.__init__(rank)
 
     @classmethod
     def of(cls, counts: dict[str, dict[str, int]]) -> Profiles:
         """From word counts by language."""
-        out = cls()
+        rank = {}
         for lang, words in counts.items():
             grams: Counter[str] = Counter()
             for w, n in words.items():
                 for g in _ngrams(w):
                     grams[g] += n
-            out.rank[lang] = {g: i for i, (g, _) in enumerate(sorted(grams.items(), key=lambda x: (-x[1], x[0]))[:PROFILE])}
-        return out
-
-    def _word(self, w: str) -> tuple[float, ...]:
-        """Distances to each language, number of n-grams, and in which languages the word is known."""
-        if w not in self._words:
-            if len(self._words) > 300_000:
-                self._words.clear()
-            grams, scale = _ngrams(w), math.log1p(PROFILE)
-            far = [sum(math.log1p(self.rank[la].get(g, PROFILE)) for g in grams) / scale if la in self.rank else float(len(grams)) for la in LANGS]
-            self._words[w] = (*far, len(grams), *(f" {w}" in self.rank.get(la, ()) for la in LANGS))
-        return self._words[w]
-
-    def judge(self, words: list[str]) -> tuple[str | None, float]:
-        """Language (null if none is sure) and confidence.
-
-        The out-of-place distance of an n-gram is that between its rank in the profile and the front, where all n-grams of
-        a short segment are, in logarithms; unknown n-grams are the whole profile away. Confidence is the distance of the
-        second language beyond the first, relative to it and to LEAST_MARGIN, as 1 - exp(-x).
+            rank[lang] = {g: i for i, (g, _) in enumerate(sorted(grams.items(), key=lambda x: (-x[1], x[0]))[:PROFILE])}
+        return cls(rank)
+
+    def _forget(self) -> None:
+        self._word: dict[str, int] = {}
+        self._grams: list[int] = []
+        self._starts: list[int] = [0]
+        self._whole: list[int] = []
+        self._table: tuple | None = None
+
+    def _words(self, flat: list[str]) -> tuple[np.ndarray, ...]:
+        """Numbers of words, and by number the places of their n-grams (start, flat list) and of the word itself."""
+        if len(self._word) > MOST_KEPT:
+            self._forget()
+        for w in set(flat).difference(self._word):
+            self._word[w] = len(self._word)
+            self._grams += [self.place.get(g, len(self.place)) for g in _ngrams(w)]
+            self._starts.append(len(self._grams))
+            self._whole.append(self._grams[-1])
+            self._table = None
+        if self._table is None:
+            self._table = np.array(self._starts), np.array(self._grams, np.int32), np.array(self._whole, np.int32)
+        return np.fromiter(map(self._word.__getitem__, flat), np.int64, len(flat)), *self._table
+
+    def judge(self, segs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Place in LANGS (-1 if none is sure) and confidence of each segment, given as its words.
+
+        The n-grams of a segment are ranked by their frequency in it, equal ones alike; the out-of-place distance to a
+        language is the mean difference of their ranks from those in its profile, in logarithms, each n-gram weighed by
+        its frequency; one that the profile lacks is the whole profile away. Confidence is the distance of the second
+        language beyond the first, relative to it and to LEAST_MARGIN, as 1 - exp(-x). Segments of fewer than LEAST_WORDS
+        words need words that are all known, and a wider margin.
         """
-        if not words:
-            return None, 0.0
-        sums = list(map(sum, zip(*map(self._word, words))))
-        far, known = [x / sums[len(LANGS)] for x in sums[: len(LANGS)]], sums[len(LANGS) + 1 :]
-        order = sorted(range(len(LANGS)), key=far.__getitem__)
-        best, margin = order[0], (far[order[1]] - far[order[0]]) / max(far[order[1]], 1e-9)
-        sure = len(words) >= LEAST_WORDS and known[best] >= LEAST_KNOWN * len(words) and margin >= LEAST_MARGIN
-        return (LANGS[best] if sure else None), 1 - math.exp(-margin / LEAST_MARGIN)
-
-    def document(self, text: str | None) -> tuple[dict[str, int], list[tuple[int, int, str, float]], str | None, float]:
-        """Letters by language, sure segments with confidence, main language and its confidence; empty for null texts."""
-        letters: dict[str, int] = {}
-        sure = []
-        for a, b in segments(text or ""):
-            w = tokens(text[a:b])
-            lang, conf = self.judge(w)
-            if lang:
-                letters[lang] = letters.get(lang, 0) + sum(map(len, w))
-                sure.append((a, b, lang, conf))
-        main = max(letters, key=lambda x: (letters[x], x)) if letters else None
-        if not main:
-            return letters, sure, None, 0.0
-        mean = sum(c * (b - a) for a, b, la, c in sure if la == main) / sum(b - a for a, b, *_ in sure)
-        return letters, sure, main, mean
+        lens = np.array([len(x) for x in segs], np.int64)
+        best, conf = np.full(len(segs), -1), np.zeros(len(segs))
+        if not lens.sum():
+            return best, conf
+        word, starts, grams, whole = self._words([w for x in segs for w in x])
+        seg = np.repeat(np.arange(len(segs)), lens)
+        n = starts[word + 1] - starts[word]
+        at = np.repeat(starts[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        key = np.repeat(seg, n) * len(self.log) + grams[at]
+        key.sort()
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.diff(np.append(first, len(key)))
+        of, gram = np.divmod(key[first], len(self.log))
+        # ranks in the segment: how many other frequencies are above; n-grams of no profile have none
+        order = of * 256 + 255 - np.minimum(count, 255)
+        known = gram < len(self.place)
+        levels = np.unique(order[known])
+        rank = np.searchsorted(levels, order) - np.searchsorted(levels, of * 256)
+        out = np.abs(self.log[gram] - np.where(known, np.log1p(rank), 0).astype(np.float32)[:, None])
+        heads = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        mass = np.add.reduceat(count, heads)
+        far = np.add.reduceat(out * count[:, None].astype(np.float32), heads) / mass[:, None] / math.log1p(PROFILE)
+        full = of[heads]
+        two = np.argsort(far, axis=1, kind="stable")[:, :2]
+        d0, d1 = (np.take_along_axis(far, two[:, i : i + 1], 1)[:, 0] for i in (0, 1))
+        margin = (d1 - d0) / np.maximum(d1, 1e-9)
+        seen = (self.log[whole[word]] < math.log1p(PROFILE)).astype(np.int64)
+        seen = np.add.reduceat(seen, np.concatenate([[0], np.cumsum(lens[lens > 0])[:-1]]))
+        share = np.take_along_axis(seen, two[:, :1], 1)[:, 0] / lens[full]
+        long = lens[full] >= LEAST_WORDS
+        sure = np.where(long, (share >= LEAST_KNOWN) & (margin >= LEAST_MARGIN), (share == 1) & (margin >= SHORT_MARGIN))
+        best[full], conf[full] = np.where(sure, two[:, 0], -1), 1 - np.exp(-margin / LEAST_MARGIN)
+        return best, conf
+
+    def documents(self, texts: list[str | None]) -> Iterator[tuple[dict[str, int], list[tuple[int, int, str, float]], str | None, float]]:
+        """For each text letters by language, sure segments with confidence, main language and its confidence; empty for
+        null texts."""
+        for part in slices(texts, MOST_LETTERS):
+            spans = [list(segments(t or "")) for t in part]
+            said = [tokens(t[a:b]) for t, s in zip(part, spans) for a, b in s]
+            best, conf = (x.tolist() for x in self.judge(said))
+            i = 0
+            for s in spans:
+                letters: dict[str, int] = {}
+                sure = []
+                for a, b in s:
+                    if best[i] >= 0:
+                        lang = LANGS[best[i]]
+                        letters[lang] = letters.get(lang, 0) + sum(map(len, said[i]))
+                        sure.append((a, b, lang, conf[i]))
+                    i += 1
+                main = max(letters, key=lambda x: (letters[x], x)) if letters else None
+                mean = sum(c * (b - a) for a, b, la, c in sure if la == main) / sum(b - a for a, b, *_ in sure) if main else 0.0
+                yield letters, sure, main, mean
 
 
 def named(label: str | None) -> set[str]:
@@ -138,27 +199,38 @@ def _count(model: Profiles | None):
     """Words by language: of the label where it names one language, later of the segments that a model is sure of."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter[tuple[str, str]] = Counter()
+        counts: dict[str, Counter[str]] = {la: Counter() for la in LANGS}
         for pdf in batches:
-            for text, label in zip(pdf["text"], pdf["lang"]):
-                if text is None or model is None and len(langs := named(label)) != 1:
-                    continue
-                for a, b in segments(text):
-                    w = tokens(text[a:b])
-                    la = next(iter(langs)) if model is None else model.judge(w)[0]
-                    if la:
-                        counts.update((la, x) for x in w)
-        yield pd.DataFrame([(la, w, n) for (la, w), n in counts.items()], columns=["lang", "word", "n"])
+            wanted = [(t, named(la)) for t, la in zip(pdf["text"], pdf["lang"]) if t is not None]
+            if model is None:
+                for text, langs in wanted:
+                    if len(langs) == 1:
+                        counts[next(iter(langs))].update(w for a, b in segments(text) for w in tokens(text[a:b]))
+                continue
+            for part in slices([t for t, _ in wanted], MOST_LETTERS):
+                said = [tokens(t[a:b]) for t in part for a, b in segments(t)]
+                for ws, i in zip(said, model.judge(said)[0].tolist()):
+                    if i >= 0:
+                        counts[LANGS[i]].update(ws)
+        yield pd.DataFrame([(la, w, n) for la, ws in counts.items() for w, n in ws.items()], columns=["lang", "word", "n"])
 
     return run
 
 
+def below(share: float) -> int:
+    """The value that this share of all 64-bit hashes is below."""
+    return min(2**63 - 1, -(2**63) + int(share * 2**64))
+
+
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Profiles:
     """Profiles from about MOST_DOCS documents, taken by a hash of their key: first by their labels, wrong ones included,
-    then twice by the segments that the profiles before are sure of, which drops the wrong ones."""
+    then twice by the segments that the profiles before are sure of, which drops the wrong ones.
+
+    The documents taken are stored once through the shared folder; all three passes read only these.
+    """
     n = max(1, df.count())
-    share = min(1.0, MOST_DOCS / n)
-    some = spread(df.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20))).select(F.col(text).alias("text"), F.col(lang).alias("lang")))
+    some = df.where(F.xxhash64(key) <= F.lit(below(min(1.0, MOST_DOCS / n)))) if n > MOST_DOCS else df
+    some = cut(spread(some.select(F.col(text).alias("text"), F.col(lang).alias("lang"))))
     model: Profiles | None = None
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     for _ in range(3):
@@ -180,8 +252,7 @@ def identify(df: DataFrame, model: Profiles, key: str = "doc_id", text: str = "t
         m = shared.value
         for pdf in batches:
             rows = []
-            for k, t, la in zip(pdf["key"], pdf["text"], pdf["lang"]):
-                letters, sure, main, conf = m.document(t)
+            for k, la, (letters, sure, main, conf) in zip(pdf["key"], pdf["lang"], m.documents(pdf["text"].tolist())):
                 other = [{"start": a, "end": b, "lang": x, "confidence": c} for a, b, x, c in sure if x != main]
                 rows.append((k, main, conf, sorted(letters), sorted(named(la)), other))
             yield pd.DataFrame(rows, columns=["key", "main_lang", "confidence", "langs", "named", "segments"])

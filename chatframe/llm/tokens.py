@@ -102,7 +102,7 @@ def vocabulary_path(folder: str = FOLDER, name: str = VOCABULARY) -> str:
     return os.path.join(folder, name)
 
 
-def _slices(texts: list, most: int = 4_000_000) -> Iterator[list]:
+def slices(texts: list, most: int = 4_000_000) -> Iterator[list]:
     """Consecutive runs of about most characters, so that a batch of very long texts needs bounded memory."""
     run, size = [], 0
     for t in texts:
@@ -126,7 +126,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
         c = codec(path)
         for pdf in batches:
             at = 0
-            for part in _slices(pdf["text"].tolist()):
+            for part in slices(pdf["text"].tolist()):
                 ids = [np.asarray(x, np.int32) for x in c.encode_all(part)]
                 yield pd.DataFrame({"key": pdf["key"].iloc[at : at + len(part)], "ids": ids})
                 at += len(part)
@@ -143,7 +143,7 @@ def lengths(df: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
         for pdf in batches:
-            n = [len(ids) for part in _slices(pdf["text"].tolist()) for ids in c.encode_all(part)]
+            n = [len(ids) for part in slices(pdf["text"].tolist()) for ids in c.encode_all(part)]
             yield pd.DataFrame({"key": pdf["key"], "n_tokens": n})
 
     kind = df.schema[key].dataType.simpleString()

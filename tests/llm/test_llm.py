@@ -323,6 +323,7 @@ def test_languages(spark):
     special = {
         1000: ("Nilora: the queue at the bridge was slow today. hast du die neue Suppe probiert\nimage omitted", "en"), 1001: ("01/02/2024, 10:00 - Élodie: have you tried the new soup", "en-GB"), 1002: ("https://a.example/x 123 !!! 👍", "xx"),
         1003: ("", None), 1004: (None, "en"), 1005: ("aaj pul pe bahut bheed thi", "hi"), 1006: ("the queue at the bridge was slow today " * 3000, "English"), 1007: ("आज पुल पर बहुत भीड़ थी", "hi,en"),
+        1008: ("have you\nneue Suppe", "fr"), 1009: ("hahahahaha aaaaaaa", "en"), 1010: ("26/12/2023,  08:31  -  Nilora  Almundar:  <Media  omitted>", "en"), 1011: ("[have you tried the new soup]", "en"),
     }
     docs += [(k, *v) for k, v in special.items()]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
@@ -333,10 +334,17 @@ def test_languages(spark):
     assert by[1000]["langs"] == ["de", "en"] and [(s["lang"], special[1000][0][s["start"] : s["end"]]) for s in by[1000]["segments"]] == [(la, t) for la, t in both.items() if la != main]
     assert by[1001]["langs"] == ["en"] and all(by[i]["langs"] == [] for i in (1002, 1003, 1004)) and by[1006]["langs"] == ["en"] and by[1006]["confidence"] > 0.5
     cases = {(r["doc_id"], r["lang"]) for r in languages.mislabelled(found).where("doc_id >= 1000").collect()}
-    assert cases == {(1000, "de"), (1000, "en"), (1005, "hi-latn")}
+    assert cases == {(1000, "de"), (1000, "en"), (1005, "hi-latn"), (1008, "de"), (1008, "en")}
+    assert by[1009]["langs"] == by[1010]["langs"] == [] and by[1011]["langs"] == ["en"]
     assert all(by[i]["main_lang"] == la for i, t, _ in docs[:700] for la in [next(k for k, v in SAYINGS.items() if t.split("\n")[0] in v)])
     assert languages.identify(df.limit(0), languages.Profiles()).count() == 0 and languages.mislabelled(languages.identify(df, languages.fit(df.limit(0)))).count() == 0
 
 
+def test_share_of_hashes():
+    assert languages.below(1.0) == 2**63 - 1 and languages.below(0.5) == 0
+    few = languages.below(languages.MOST_DOCS / 22_000_000_000) + 2**63
+    assert 0 < few < 2**64 * 1e-6
+
+
 def test_language_names():
     assert languages.named("pt-BR") == {"pt"} and languages.named("en,hi-latn") == {"en", "hi-latn"} and languages.named("hi_Latn") == {"hi-latn"} and languages.named("mul") == languages.named(None) == set() and languages.named("français") == {"fr"}
