@@ -1,7 +1,9 @@
 """Personal information in free text: found by anchors, bounded by local parsers, replaced by typed placeholders.
 
-An Aho-Corasick automaton finds anchors (at-signs, digits, digit words, street words, titles, known names). Each anchor
-opens a window; the parsers of its kind run only there, expand to the item's boundaries and check it.
+An Aho-Corasick automaton finds anchors (at-signs, digits, digit words, street words, titles, known names, words that a
+person follows). Each anchor opens a window; the parsers of its kind run only there, expand to the item's boundaries and
+check it; a window grows with its item. Names of the address book count in any letter case, others if they are written
+like names and follow a title or such a word.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 from ..runtime import spread
 
 KINDS = ("email", "address", "id_number", "phone", "person")
-#: Characters around an anchor that belong to its window; items are shorter.
-BEFORE, AFTER = 96, 128
+#: Characters around an anchor that its window starts with; it grows while an item comes as near to its end as EDGE.
+BEFORE, AFTER, EDGE = 96, 128, 64
 MOST_NAMES = 100_000
 
 #: Words that announce something.
@@ -35,6 +37,10 @@ ID_CUES = "aadhaar aadhar pan passport licence license id identity ssn social in
 PHONE_CUES = "call ring text whatsapp phone ph mobile number no नंबर landlord driver sim calls from contact reach try"
 NOT_A_PERSON = "road street bridge museum textiles lane avenue nagar colony hospital school college stadium park trust foundation memorial library market bazaar hall tower marg station airport stores industries"
 
+#: Words that a person follows, and capitalised words that are no part of a name.
+PERSON_CUES = "ask asked tell told with met meet meeting contact named dear hi hello hey thanks thank regards cc attn invite invited from by name"
+NO_NAME = "monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december circle bakery lake river marathon hotel cafe restaurant temple church mosque clinic bank mall company university the new old north south east west"
+
 
 @lru_cache(1)
 def _plain_table() -> dict[int, str]:
@@ -99,6 +105,32 @@ _THING = re.compile(rf"(?<!{_W})(?:{_any(NUMBER_OF_A_THING)})(?:[ .:#-]+(?:no|nu
 _PHONE_CUE = re.compile(rf"(?<!{_W})(?:{_any(PHONE_CUES)})[ .:]*(?:is|me on|hai)?[ .:]*$")
 
 
+_FAMILY = re.compile(r" *(?:[a-z]\.? +)?([^\W\d_][\w'’-]*)")
+#: Two capitalised words, with or without an initial between them, that no third one follows.
+_UNLISTED = re.compile(r"(?!\w\w? )[A-Z][^\W\d_]+(?:[-'’][A-Z][^\W\d_]+)?(?: +[A-Z]\.?)? +[A-Z][^\W\d_]+(?:[-'’][A-Z][^\W\d_]+)?(?![\w@])(?! +[A-Z])")
+_NO_NAME = re.compile(rf"(?<!\w)(?:{_any(NO_NAME)}|{_any(NOT_A_PERSON)}|{_any(STREETS)})(?!\w)")
+_NO_PERSON = re.compile(rf" (?:{_any(NOT_A_PERSON)})\b")
+
+
+def _grown(p: re.Pattern, text: str, windows) -> Iterator[re.Match]:
+    """Matches in windows; a window with a match that comes near one of its ends is widened until none does."""
+    done = 0
+    for a, b in windows:
+        if b <= done:
+            continue
+        while True:
+            found = list(p.finditer(text, a, b))
+            left = a > 0 and any(m.start() < a + EDGE for m in found)
+            right = b < len(text) and any(m.end() > b - EDGE for m in found)
+            if not left and not right:
+                break
+            a, b = max(0, a - (b - a)) if left else a, min(len(text), b + (b - a)) if right else b
+        for m in found:
+            if m.end() > done:
+                yield m
+        done = max(done, found[-1].end() if found else done)
+
+
 def _groups_fit(shown: str, digits: str) -> bool:
     """Whether a number is written and long enough to be a phone."""
     if shown.startswith(("+", "(+", "00")):
@@ -122,7 +154,7 @@ class Finder:
             if len(words) >= 2:
                 given.add(words[0])
                 family.add(words[-1])
-        self.family = family
+        self.given, self.family = given, family
         anchors: dict[str, set[str]] = {}
 
         def add(kind: str, *words: str) -> None:
@@ -134,14 +166,14 @@ class Finder:
         whole = {f" {w}" for w in STREETS.split()}  # short words among them, so what follows must end the word, as the parsers want it
         add("spelt", *(w + sep for w in DIGIT_WORDS.split() for sep in " ,-"))
         add("address", *whole, *(f"{w}{dot} " for w in GERMAN_STREETS.split() for dot in ("", ".")), *(f"{w} " for w in ROMANCE_STREETS.split()))
-        add("person", *(w for w in TITLES.split()), *(g + " " for g in given))
+        add("person", *TITLES.split())
+        add("cue", *(f"{w} " for w in PERSON_CUES.split()), *(f"{w}, " for w in PERSON_CUES.split()))
+        add("named", *(w + " " for w in given), *(t + dot + " " for t in TITLES.split() for dot in ("", ".")))
         self.automaton = ahocorasick.Automaton()
         for w, kinds in anchors.items():
             self.automaton.add_word(w, (len(w), tuple(kinds), w in whole))
         self.automaton.make_automaton()
-        self.title = re.compile(rf"(?<!\w)(?:{_any(TITLES)})\.? +(?:[a-z]\.? +)?({'|'.join(map(re.escape, sorted(family))) or '(?!)'})(?!\w)(?! (?:{_any(NOT_A_PERSON)})\b)")
         self.titled = re.compile(rf"\b(?:{'|'.join(t.capitalize() for t in TITLES.split())})\.? +(?:[A-Z]\.? +)?[A-Z][^\W\d_]+(?:[-'’][A-Z][^\W\d_]+)?\b")
-        self.full = re.compile(rf"(?<![\w.@])(?:{'|'.join(map(re.escape, sorted(given))) or '(?!)'}) +(?:[a-z]\.? +)?(?:{'|'.join(map(re.escape, sorted(family))) or '(?!)'})(?![\w@])(?! (?:{_any(NOT_A_PERSON)})\b)")
 
     def _windows(self, low: str) -> dict[str, list[tuple[int, int]]]:
         out: dict[str, list[tuple[int, int]]] = {}
@@ -150,6 +182,9 @@ class Finder:
                 continue
             a, b = max(0, end - length + 1 - BEFORE), min(len(low), end + 1 + AFTER)
             for k in kinds:
+                if k in ("named", "cue"):
+                    out.setdefault(k, []).append((end - length + 1, end + 1))
+                    continue
                 runs = out.setdefault(k, [])
                 if runs and a <= runs[-1][1]:
                     runs[-1] = (runs[-1][0], b)
@@ -171,11 +206,10 @@ class Finder:
         urls = [m.span() for m in URL.finditer(low)] if "://" in low or "www." in low else []
 
         def each(kind: str, patterns, kept=lambda m: True):
-            for a, b in at.get(kind, ()):
-                for p in patterns:
-                    for m in p.finditer(low, a, b):
-                        if free(*m.span()) and not any(x < m.end() and m.start() < y for x, y in urls) and kept(m):
-                            yield m
+            for p in patterns:
+                for m in _grown(p, low, at.get(kind, ())):
+                    if free(*m.span()) and not any(x < m.end() and m.start() < y for x, y in urls) and kept(m):
+                        yield m
 
         for m in each("email", EMAIL):
             found.append((*m.span(), "email"))
@@ -190,14 +224,36 @@ class Finder:
         for m in each("spelt", [SPELT]):
             if sum(w not in ("double", "triple", "plus") for w in re.findall(r"\w+", m[0])) >= 7:
                 found.append((*m.span(), "phone"))
-        for m in each("person", [self.title, self.full]):
-            found.append((*m.span(), "person"))
-        for a, b in at.get("person", ()):
-            for m in self.titled.finditer(text, a, b):
-                if free(*m.span()):
-                    found.append((*m.span(), "person"))
+        for a, b in (x for at_ in at.get("named", ()) if (x := self._person(low, *at_))):
+            if free(a, b) and not any(x < b and a < y for x, y in urls):
+                found.append((a, b, "person"))
+        for m in _grown(self.titled, text, at.get("person", ())):
+            if free(*m.span()):
+                found.append((*m.span(), "person"))
+        for a, b in at.get("cue", ()):
+            m = _UNLISTED.match(text, b)
+            if m and free(*m.span()) and not (a and low[a - 1].isalnum()) and not _NO_NAME.search(low, m.start(), m.end()) and not _NO_PERSON.match(low, m.end()):
+                found.append((*m.span(), "person"))
         return sorted(found)
 
+    def _person(self, low: str, start: int, end: int) -> tuple[int, int] | None:
+        """The span of a known given name or a title from start to end (blank included) with the family name behind it."""
+        if start and (low[start - 1].isalnum() or low[start - 1] in "_.@"):
+            return None
+        m = _FAMILY.match(low, end)
+        if not m:
+            return None
+        last, stop = m[1], m.end()
+        if last not in self.family:  # a double name of which the first part is known
+            first = re.split(r"[-'’]", last, maxsplit=1)[0]
+            if first == last or first not in self.family:
+                return None
+            stop = m.start(1) + len(first)
+        after = low[stop : stop + 1]
+        if after == "@" or after.isalnum() or after == "_" or _NO_PERSON.match(low, stop):
+            return None
+        return start, stop
+
     @staticmethod
     def _id(low: str, m: re.Match) -> bool:
         before = low[max(0, m.start() - 40) : m.start()]
