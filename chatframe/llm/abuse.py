@@ -12,7 +12,6 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from ..runtime import spread
 
 #: Bounds of what is collected for training.
-MOST_LABELS, MOST_UNLABELLED = 20_000, 20_000
+MOST_LABELS, MOST_UNLABELLED, MOST_LISTED = 20_000, 20_000, 20_000
 PRIOR_START, CLEAN_SHARE, EPOCHS, RATE, DECAY, FOLDS = 0.05, 0.5, 20, 0.5, 2e-6, 3
 
 #: Letters that look like Latin ones, and signs that stand for letters inside words.
@@ -31,7 +30,8 @@ LEET = {"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*]{1,2}[^\W\d_]){2,}(?![^\W_])")
 _DOTTED = re.compile(r"(?:(?<=[^\W\d_])|(?<=[ऀ-ॿ]))(?:\.{1,3}|[_|~^])(?=[^\W\d_]|[ऀ-ॿ])")
 _LEET_WORD = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[@$!0-9])[^\W_@$!]*[@$!0-9][\w@$!*]*")
-_RUN = re.compile(r"(.)\1+")
+_RUN = re.compile(r"([\w*ऀ-ॿ])\1+")
+_INSIDE, _SIGN = re.compile(r"[._|~^]"), re.compile(r"[@$!\d]")
 _TOKEN = re.compile(r"[\w*ऀ-ॿ]+")
 
 
@@ -46,11 +46,13 @@ def _letters(text: str) -> str:
 
 def words(text: str) -> list[str]:
     """Words with spaced, dotted, leet and stretched spellings undone; numbers as 0; stars stay."""
-    text = _letters(text)
-    text = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), text)
-    text = _DOTTED.sub("", text)
-    text = _LEET_WORD.sub(lambda m: m[0].rstrip("!") if m[0].rstrip("!").isalpha() else "".join(LEET.get(c, c) for c in m[0].rstrip("!,.?")), text)
-    return ["0" if w.isdigit() else _RUN.sub(r"\1", w.strip("_")) for w in _TOKEN.findall(text)]
+    text = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), _letters(text))
+    if _INSIDE.search(text):
+        text = _DOTTED.sub("", text)
+    if _SIGN.search(text):
+        text = _LEET_WORD.sub(lambda m: m[0].rstrip("!") if m[0].rstrip("!").isalpha() else "".join(LEET.get(c, c) for c in m[0].rstrip("!,.?")), text)
+    out = _TOKEN.findall(_RUN.sub(r"\1", text))
+    return ["0" if w.isdigit() else w.strip("_") for w in out] if _SIGN.search(text) or "_" in text else out
 
 
 def _near(a: str, b: str) -> bool:
@@ -68,36 +70,96 @@ def _near(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
 
 
-@dataclass
+def _shorter(w: str) -> set[str]:
+    """w and what is left of it without one letter: two words that are _near, stars aside, have one of these in common."""
+    return {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}
+
+
+#: How the words of an n-gram are written in a feature's name.
+_FORMS = ("{}", "{} {}", "{} {} {}", "{} _ {}")
+
+
 class Model:
     """Weights of word n-grams, the words whose misspellings are undone, and the words that are no misspellings."""
 
-    weight: dict[str, float] = field(default_factory=dict)
-    bias: float = 0.0
-    marked: list[str] = field(default_factory=list)
-    common: frozenset[str] = frozenset()
-    threshold: float = 0.5
-    _seen: dict[str, str] = field(default_factory=dict)
+    def __init__(self, marked: list[str] = [], common: frozenset[str] = frozenset(), weight: dict[str, float] | None = None, bias: float = 0.0, threshold: float = 0.5):  # noqa: B006
+        self.marked, self.common, self.bias, self.threshold = marked, common, bias, threshold
+        self._place = {m: i for i, m in enumerate(marked)}
+        self._near: dict[str, list[int]] = {}
+        for m, i in self._place.items():
+            for x in _shorter(m):
+                self._near.setdefault(x, []).append(i)
+        self._seen: dict[str, str] = {}
+        self.learn(weight or {})
+
+    def __getstate__(self) -> tuple:
+        return self.marked, self.common, self.weight, self.bias, self.threshold
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def learn(self, weight: dict[str, float]) -> None:
+        """Take these weights by feature."""
+        self.weight = weight
+        parts = {f: f.split(" ") for f in weight}
+        self._id = {w: i for i, w in enumerate(dict.fromkeys(w for p in parts.values() for w in p), 1)}  # 0: in no feature
+        key = np.array([self._key([self._id[w] for w in p if w != "_" or len(p) != 3], 3 if len(p) == 3 and p[1] == "_" else len(p) - 1) for p in parts.values()], np.int64)
+        order = np.argsort(key)
+        self._keys, self._weights = key[order], np.array(list(weight.values()))[order]
+        self._ids: dict[str, int] = {}
+
+    def _key(self, ids, form: int):
+        """One number for the words of an n-gram and its form."""
+        out = 0
+        for i in ids:
+            out = out * (len(self._id) + 1) + i
+        return out * len(_FORMS) + form
 
     def _right(self, w: str) -> str:
-        if w in self.common or not self.marked or len(w) < 3:
+        if w in self.common or not self.marked or len(w) < 3 or w in self._place:
             return w
         if w not in self._seen:
             if len(self._seen) > 200_000:
                 self._seen.clear()
-            self._seen[w] = next((m for m in self.marked if m == w), None) or next((m for m in self.marked if _near(w, m)), w)
+            near = range(len(self.marked)) if "*" in w else sorted({i for x in _shorter(w) for i in self._near.get(x, ())})
+            self._seen[w] = next((self.marked[i] for i in near if _near(w, self.marked[i])), w)
         return self._seen[w]
 
     def features(self, text: str | None) -> list[str]:
+        """The different n-grams of a text: words, two and three in a row, two with one between."""
         if not text:
             return []
         w = [self._right(x) for x in words(text)]
         return list(dict.fromkeys([*w, *(f"{a} {b}" for a, b in zip(w, w[1:])), *(f"{a} {b} {c}" for a, b, c in zip(w, w[1:], w[2:])), *(f"{a} _ {c}" for a, c in zip(w, w[2:]))]))
 
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """Probability of abuse of each text; 0 for null and for texts without words. Each different n-gram counts once."""
+        said = [words(t) if t else () for t in texts]
+        n = np.array([len(x) for x in said], np.int64)
+        flat = [w for x in said for w in x]
+        if len(self._ids) > 300_000:
+            self._ids.clear()
+        for w in set(flat).difference(self._ids):
+            self._ids[w] = self._id.get(self._right(w), 0)
+        ids = np.fromiter(map(self._ids.__getitem__, flat), np.int64, len(flat))
+        of = np.repeat(np.arange(len(texts)), n)
+        hits = []
+        for form, places in enumerate(((0,), (0, 1), (0, 1, 2), (0, 2))):
+            if len(ids) <= places[-1] or not len(self._keys):
+                continue
+            upto = len(ids) - places[-1]
+            parts = [ids[p : upto + p] for p in places]
+            inside = (of[:upto] == of[places[-1] :]) & np.logical_and.reduce([p > 0 for p in parts])
+            key = self._key([p[inside] for p in parts], form)
+            at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            known = self._keys[at] == key
+            hits.append(of[:upto][inside][known] * len(self._keys) + at[known])
+        text, feature = np.divmod(np.unique(np.concatenate(hits)), len(self._keys)) if hits else (np.empty(0, np.int64), np.empty(0, np.int64))
+        z = self.bias + np.bincount(text, self._weights[feature] if len(feature) else None, len(texts))
+        return np.where(n > 0, 1 / (1 + np.exp(-z)), 0.0)
+
     def score(self, text: str | None) -> float:
-        """Probability of abuse; 0 for null and for texts without words."""
-        f = self.features(text)
-        return float(1 / (1 + np.exp(-(self.bias + sum(self.weight.get(x, 0.0) for x in f))))) if f else 0.0
+        return float(self.scores([text])[0])
 
 
 def _train(rows: list[list[int]], kind: np.ndarray, n: int, seed: int = 7, prior: float = PRIOR_START, held: np.ndarray | None = None) -> tuple[np.ndarray, float, float]:
@@ -188,23 +250,24 @@ def fit(labelled: list[tuple[str, int]], unlabelled: list[str], listed: list[str
     kind = np.array([k for _, k in labelled] + [-1] * len(unlabelled))
     seen = Counter(w for t in texts for w in set(words(t)))
     marked = [m for m in dict.fromkeys(x for t in listed for x in words(t)) if len(m) > 2]
-    model = Model()
-    for turn in range(2):
+    both = {0, 1} <= set(kind.tolist())
+    for last in (False, True):
         often = max(6, len(texts) // 1500)
-        model = Model(marked=marked, common=frozenset(w for w, n in seen.items() if "*" not in w and n >= often) - frozenset(marked))
+        model = Model(marked, frozenset(w for w, n in seen.items() if "*" not in w and n >= often) - frozenset(marked))
         feats = [model.features(t) for t in texts]
         judged = Counter(f for fs, k in zip(feats, kind) if k >= 0 for f in fs)
         free = Counter(f for fs, k in zip(feats, kind) if k < 0 for f in fs)
         names = [f for f in dict.fromkeys([*judged, *free]) if judged[f] + free[f] >= 3 and judged[f]]
         place = {f: i for i, f in enumerate(names)}
         rows = [[place[f] for f in fs if f in place] for fs in feats]
-        held, prior = _held_out(rows, kind, len(names)) if {0, 1} <= set(kind.tolist()) else (None, PRIOR_START)
-        w, b, _ = _train(rows, kind, len(names), prior=prior)
-        model.weight, model.bias = {f: float(x) for f, x in zip(names, w) if abs(x) > 1e-3}, float(b)
-        if not turn:
+        held, prior = _held_out(rows, kind, len(names)) if both and last else (None, PRIOR_START)
+        w, model.bias, _ = _train(rows, kind, len(names), prior=prior)
+        weight = {f: float(x) for f, x in zip(names, w) if abs(x) > 1e-3}
+        if not last:
             bad = Counter(f for fs, k in zip(feats, kind) if k == 1 for f in fs)
-            telling = [f for f in names if " " not in f and len(f) > 3 and model.weight.get(f, 0) > 0.2 and bad[f] >= 3 and bad[f] > 0.7 * judged[f]]
-            marked = list(dict.fromkeys([*marked, *sorted(telling, key=lambda f: (-bad[f], f))[:200]]))
+            telling = [f for f in names if " " not in f and len(f) > 3 and weight.get(f, 0) > 0.2 and bad[f] >= 3 and bad[f] > 0.7 * judged[f]]
+            marked = list(dict.fromkeys([*marked, *sorted(telling, key=lambda f: (-bad[f], f))]))
+    model.learn(weight)
     if held is not None:
         model.threshold = _cut(held, kind[: len(labelled)], prior)
     return model
@@ -220,7 +283,9 @@ def train(messages: DataFrame, labels: DataFrame, listed: DataFrame, key: str =
     once = messages.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(key, text).distinct()
     rows = once.join(judged, key).select(text, "abusive").collect()
     free = once.join(judged.select(key), key, "left_anti").orderBy(F.xxhash64(key), key).limit(MOST_UNLABELLED).select(text).collect()
-    words_ = [r[0] for r in listed.select("word").where("word is not null").distinct().limit(MOST_LABELS).collect()]
+    words_ = [r[0] for r in listed.select("word").where("word is not null").distinct().limit(MOST_LISTED + 1).collect()]
+    if len(words_) > MOST_LISTED:
+        raise ValueError(f"more than {MOST_LISTED} listed words")
     return fit(sorted((r[0], r[1]) for r in rows), sorted(r[0] for r in free), sorted(words_))
 
 
@@ -232,7 +297,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for pdf in batches:
-            s = np.array([m.score(t) for t in pdf[text]], float)
+            s = m.scores(pdf[text].tolist())
             yield pdf.assign(score=s, abusive=s >= m.threshold)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
