@@ -37,7 +37,19 @@ def p4_notations(spark: SparkSession, folder: str) -> DataFrame:
     return chats.join(read, "msg_id", "left").groupBy("source_file", F.coalesce("kind", F.lit("none")).alias("notation")).agg(F.count("*").alias("n_messages"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_gap_settings": p2_gap_settings, "p4_found": p4_found, "p4_notations": p4_notations}
+def p4_hidden(spark: SparkSession, folder: str) -> DataFrame:
+    """How many slash dates the record order decides as the device's date order would, with every third device's withheld,
+    by source: n_messages, n_right."""
+    parsed, devices = table(spark, folder, "parsed"), table(spark, folder, "devices")
+    known = normalise_timestamps(parsed, devices).select("msg_id", F.col("utc_us").alias("right_us"))
+    hidden = devices.withColumn("day_first", F.when(F.col("device_id") % 3 != 0, F.col("day_first")))
+    read = normalise_timestamps(parsed, hidden).where("kind in ('dmy', 'mdy')")
+    of = parsed.where("device_id % 3 = 0").groupBy("msg_id").agg(F.min("source_file").alias("source_file"))
+    both = of.join(read, "msg_id").join(known, "msg_id")
+    return both.groupBy("source_file").agg(F.count("*").alias("n_messages"), F.count_if(F.col("utc_us") == F.col("right_us")).alias("n_right"))
+
+
+QUERIES = {"p4_hidden": p4_hidden, "p2_found": p2_found, "p2_gap_settings": p2_gap_settings, "p4_found": p4_found, "p4_notations": p4_notations}
 
 _SESSIONS = """
 with m as (select distinct msg_id, source_file, epoch_us(datetime) us from enriched where source_file is not null and datetime is not null),

@@ -2,9 +2,12 @@
 
 from datetime import UTC, datetime
 
+import itertools
+import random
+
 import pytest
 
-from chatframe.operators.timestamps import normalise_timestamps
+from chatframe.operators.timestamps import normalise_timestamps, viterbi
 
 DEVICES = [(1, "Asia/Kolkata", True), (2, "America/New_York", False), (3, "Europe/Berlin", True), (4, "Australia/Sydney", True), (5, "Asia/Kolkata", None), (6, None, True)]
 CASES = [
@@ -48,6 +51,27 @@ def test_viterbi_decides_the_date_order_of_a_source(spark, devices):
     assert [got[i][0] for i in range(4)] == ["mdy"] * 4 and got[102][0] == "dmy" and got[200][0] == "dmy"
 
 
+def test_viterbi_against_all_paths(spark):
+    rng, rows = random.Random(5), []
+    for source in ("a", "b", "c"):
+        for i in range(11):
+            t = rng.randrange(20)
+            both = [{"kind": "dmy", "utc_us": t}, {"kind": "mdy", "utc_us": rng.randrange(20)}]
+            rows.append((source, (i + 1) ** 9 * 10 + ord(source), both if rng.random() < 0.7 else [rng.choice([both[0], both[1], {"kind": "iso", "utc_us": t}])]))  # sparse ids
+    df = spark.createDataFrame(rows, "source string, rec bigint, readings array<struct<kind string, utc_us bigint>>")
+    got = {(r["source"], r["rec"]): (r["kind"], r["utc_us"]) for r in viterbi(df, 4).collect()}
+
+    def cost(path):
+        own = sum(0.01 for r, k in path if k["kind"] == "mdy" and len(r) > 1)
+        return own + sum((2.0 if b["utc_us"] < a["utc_us"] else 0) + (1.0 if {a["kind"], b["kind"]} == {"dmy", "mdy"} else 0) for (_, a), (_, b) in zip(path, path[1:]))
+
+    for source in ("a", "b", "c"):
+        mine = [(rec, r) for s, rec, r in rows if s == source]
+        least = min(cost(list(zip([r for _, r in mine], pick))) for pick in itertools.product(*(r for _, r in mine)))
+        chosen = [next(x for x in r if (x["kind"], x["utc_us"]) == got[source, rec]) if len(r) > 1 else r[0] for rec, r in mine]
+        assert abs(cost(list(zip([r for _, r in mine], chosen))) - least) < 1e-9
+
+
 def test_empty(spark, devices):
     assert normalise_timestamps(table(spark, []), devices).count() == 0
     assert normalise_timestamps(table(spark, [(1, "s", "1689795976", 1, None, None)]), devices.limit(0)).count() == 1
