@@ -68,13 +68,25 @@ def mask_words(c: Column, words: Sequence[str], mask: str = "[NSFW]") -> Column:
     return F.array_join(F.transform(tokens(c), lambda t: F.when(F.array_contains(listed, core(t)), F.lit(mask)).otherwise(t)), " ")
 
 
+def active_words(buckets: Sequence[str], lists: dict[str, Sequence[str]] | None = None) -> tuple[str, ...]:
+    """The words of all these buckets together, each once, in lower case; a bucket that lists lacks has none.
+
+    lists: words by bucket, by default the built-in ones.
+    """
+    lists = {k: v.split() for k, v in NSFW_WORDS.items()} if lists is None else lists
+    return tuple(dict.fromkeys(w.strip().lower() for b in buckets for w in lists.get(b, ()) if w.strip()))
+
+
 def normalise_space(c: Column) -> Column:
     """Runs of two or more blanks as one space, outer ones removed; a single tab or line break stays."""
     return strip(F.regexp_replace(c, rf"[{WS}]{{2,}}", " "))
 
 
-def clean_text(c: Column, devanagari: bool = True, english: bool = False, masked: Sequence[str] = (), pii: bool = True, english_words: Sequence[str] = tuple(ENGLISH_WORDS.split())) -> Column:
-    """All rules in order; null for null, empty and media texts and for results of at most one character."""
+def clean_text(c: Column, devanagari: bool = True, english: bool = False, masked: Sequence[str] = (), pii: bool = True, english_words: Sequence[str] = tuple(ENGLISH_WORDS.split()), buckets: Sequence[str] = (), lists: dict[str, Sequence[str]] | None = None) -> Column:
+    """All rules in order; null for null, empty and media texts and for results of at most one character.
+
+    masked and the words of the active buckets (english, hinglish, hindi, or those of lists) are masked alike.
+    """
     t = c
     if devanagari:
         t = remove_devanagari(t)
@@ -82,7 +94,7 @@ def clean_text(c: Column, devanagari: bool = True, english: bool = False, masked
         t = mask_pii(t)
     if english:
         t = remove_words(t, english_words)
-    t = normalise_space(mask_words(t, masked))
+    t = normalise_space(mask_words(t, (*masked, *active_words(buckets, lists))))
     # the cheap test comes first: CASE stops there
     return F.when(c.isNull() | (c == "") | is_media(c), F.lit(None).cast("string")).otherwise(bind(t, lambda x: F.when(F.length(x) > 1, x)))
 

@@ -11,8 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.pytext import bind, constant, strip
+from ..runtime import cut
+from .ordered import carried
 
 MOST_CONTACTS = 20_000
+#: Different (sender, chat) pairs up to which their contacts are broadcast, at most some 60 MB.
+MOST_PAIRS = 200_000
 
 
 @dataclass(frozen=True)
@@ -47,6 +51,15 @@ class Contacts:
         names = [(c.get("name", ""), phone, c.get("relationship", doc.get("default_relationship", "acquaintance"))) for phone, c in people.items()]
         return cls.of(names, list(doc.get("group_chats", {}).items()), doc.get("default_relationship"), doc.get("your_name_in_exports", "You"))
 
+    @staticmethod
+    def your_name(path: str, default: str = "You") -> str:
+        """The owner's name in exports as the document of read() gives it; default if the file is missing or no JSON object."""
+        try:
+            with open(path, encoding="utf-8") as f:
+                return json.load(f).get("your_name_in_exports", default)
+        except (OSError, ValueError, AttributeError):
+            return default
+
     @classmethod
     def from_table(cls, df: DataFrame, you: str = "You", default: str | None = None) -> Contacts:
         """From a small table name, phone, relationship, ordered by phone; its size is checked."""
@@ -58,9 +71,21 @@ def tag_relationships(df: DataFrame, contacts: Contacts) -> DataFrame:
     """df with recipient_phone and relationship, the first hit of: a group's fragment in the chat's name; the sender (not
     you), then the chat, each first as a whole name, then with either inside the other, in the book's order.
 
-    The book is a literal of checked size, so every row finds its contact where it is: no join, no shuffle. Null senders
-    and chats find nothing; without a hit the phone is ``unknown`` and the relationship the default.
+    The book is a literal of checked size. The different pairs of sender and chat are stored and looked up once each; up to
+    MOST_PAIRS of them are broadcast to the messages, which aren't shuffled. Beyond that every row is looked up where it is.
+    Null senders and chats find nothing; without a hit the phone is ``unknown`` and the relationship the default.
     """
+    rows = df.drop("recipient_phone", "relationship")
+    pairs = cut(rows.select("sender", "source_file").distinct())
+    if pairs.count() > MOST_PAIRS:
+        return _looked_up(rows, contacts)
+    found = _looked_up(pairs, contacts).select(F.col("sender").alias("_s"), F.col("source_file").alias("_f"), F.col("recipient_phone").alias("_phone"), F.col("relationship").alias("_relationship"))
+    both = rows.select(carried(rows), F.col("sender").alias("_sender"), F.col("source_file").alias("_file")).join(F.broadcast(found), F.col("_sender").eqNullSafe(F.col("_s")) & F.col("_file").eqNullSafe(F.col("_f")))
+    return both.select("_row.*", F.col("_phone").alias("recipient_phone"), F.col("_relationship").alias("relationship"))
+
+
+def _looked_up(df: DataFrame, contacts: Contacts) -> DataFrame:
+    """df with recipient_phone and relationship, each row by itself."""
     hit = "struct<name:string,phone:string,relationship:string>"
     people = constant([{"name": n, "phone": p, "relationship": r} for n, p, r in contacts.names], f"array<{hit}>")
     groups = constant([{"name": g, "phone": "group", "relationship": r} for g, r in contacts.groups], f"array<{hit}>")
@@ -88,5 +113,4 @@ def tag_relationships(df: DataFrame, contacts: Contacts) -> DataFrame:
     sender = F.when(F.coalesce(F.col("sender") == contacts.you, F.lit(True)), F.lit("")).otherwise(strip(F.lower("sender")))
     keys = F.struct(chat.alias("chat"), sender.alias("sender"), strip(chat).alias("stem"))
     # a generator computes the hit once for both columns
-    rows = df.drop("recipient_phone", "relationship")
-    return rows.select("*", F.inline(F.array(bind(keys, of))).alias("recipient_phone", "relationship"))
+    return df.select("*", F.inline(F.array(bind(keys, of))).alias("recipient_phone", "relationship"))

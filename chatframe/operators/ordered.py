@@ -1,16 +1,24 @@
 """Features that depend on the order of messages, without one task that holds the order.
 
-Time is cut into slices. Within a slice window functions do the work; what a row needs from other slices (the message
-before and after, running sums and maxima) travels in one summary row per slice. Slices are bounded by the time that the
-data spans, so neither the global order nor a hot chat ends in one task.
+Time is cut into slices of a bounded number of rows, by a histogram of the data's own times. Within a slice window
+functions do the work; what a row needs from other slices (the message before and after, running sums and maxima) travels
+in one summary row per slice. So neither the global order nor a hot chat nor a busy day ends in one task.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WEEK_S = 7 * 86_400
+from ..functions.pytext import bind, constant
+
+#: Rows of a slice; data of fewer rows than SLICES times as many are cut into about SLICES slices.
+SLICE_ROWS, SLICES = 1_000_000, 128
+#: Equal stretches of time that a slice is made of on average, the most there are in all, and the parts that a stretch with
+#: too many rows is cut into.
+SLICE_CELLS, CELLS, PARTS = 16, 65_536, 256
 
 
 def micros(c: Column) -> Column:
@@ -27,7 +35,72 @@ def carried(df: DataFrame, *replaced: str) -> Column:
     return F.struct(*kept).alias("_row") if kept else F.struct(F.lit(None).cast("string").alias("_")).alias("_row")
 
 
-def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float = 3600, ghost_s: float = 86_400, slice_s: int = WEEK_S, ties: tuple[str, ...] = ("line_no",)) -> DataFrame:
+def _part(us: Column, low: Column, high: Column) -> Column:
+    """Which of PARTS equal parts of low..high a time lies in."""
+    return F.greatest(F.lit(0), F.least(F.lit(PARTS - 1), F.floor((us - low) / (high - low + 1) * PARTS).cast("int")))
+
+
+@dataclass(frozen=True)
+class TimeSlices:
+    """Slices of time: stretches of width us from low on, each in a slice or, where it is crowded, cut into PARTS.
+
+    crowded: first and last time of each such stretch and the slices of its parts.
+    """
+
+    low: int = 0
+    width: int = 1
+    of_cell: tuple[int, ...] = (0,)
+    crowded: tuple[tuple[int, int, tuple[int, ...]], ...] = ()
+
+    def of(self, us: Column) -> Column:
+        """The number of a time's slice; later times are never in earlier slices."""
+        cell = F.floor((us - F.lit(self.low)) / F.lit(self.width)).cast("int")
+        slice_ = constant(list(self.of_cell), "array<int>")[F.greatest(F.lit(0), F.least(F.lit(len(self.of_cell) - 1), cell))]
+        if not self.crowded:
+            return slice_
+        parts = constant([{"a": a, "b": b, "p": list(p)} for a, b, p in self.crowded], "array<struct<a:bigint,b:bigint,p:array<int>>>")
+        return bind(slice_, lambda s: F.when(s >= 0, s).otherwise(bind(parts[F.greatest(F.lit(0), -1 - s)], lambda c: c["p"][_part(us, c["a"], c["b"])])))
+
+
+def time_slices(times: DataFrame, us: str = "_us", most: int = SLICE_ROWS) -> TimeSlices:
+    """Slices of at most about most rows of a column of microseconds, from two or three counts of it.
+
+    The driver sees one number per stretch of time, at most CELLS, and PARTS for each that has too many rows of its own,
+    fewer than CELLS / 8. Rows of one instant, and of one part, stay together.
+    """
+    low, high, n = times.agg(F.min(us), F.max(us), F.count(us)).first()
+    most = max(min(most, max(1, n // SLICES)), 8 * n // CELLS)
+    if n <= most:
+        return TimeSlices()
+    width = max(1, -(-(high - low + 1) // min(CELLS, SLICE_CELLS * -(-n // most))))
+    cell = F.floor((F.col(us) - F.lit(low)) / F.lit(width)).cast("int")
+    seen = times.where(F.col(us).isNotNull())
+    counts = {r["c"]: r for r in seen.groupBy(cell.alias("c")).agg(F.count("*").alias("n"), F.min(us).alias("a"), F.max(us).alias("b")).collect()}
+    inner: dict[int, dict[int, int]] = {c: {} for c, r in counts.items() if r["n"] > most and r["b"] > r["a"]}
+    if inner:
+        ends = constant({str(c): [counts[c]["a"], counts[c]["b"]] for c in inner}, "map<string,array<bigint>>")
+        crowd = seen.select(F.col(us).alias("us"), cell.alias("c"), F.try_element_at(ends, cell.cast("string")).alias("e")).where("e is not null")
+        for c, p, k in crowd.groupBy("c", _part(F.col("us"), F.col("e")[0], F.col("e")[1]).alias("p")).count().collect():
+            inner[c][p] = k
+    now, held, of_cell, crowded = 0, 0, [], []
+
+    def take(k: int) -> int:
+        nonlocal now, held
+        if held and held + k > most:
+            now, held = now + 1, 0
+        held += k
+        return now
+
+    for c in range(-(-(high - low + 1) // width)):
+        if c in inner:
+            of_cell.append(-1 - len(crowded))
+            crowded.append((counts[c]["a"], counts[c]["b"], tuple(take(inner[c].get(p, 0)) for p in range(PARTS))))
+        else:
+            of_cell.append(take(counts[c]["n"] if c in counts else 0))
+    return TimeSlices(low, width, tuple(of_cell), tuple(crowded))
+
+
+def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float = 3600, ghost_s: float = 86_400, slice_rows: int = SLICE_ROWS, ties: tuple[str, ...] = ("line_no",), slices: TimeSlices | None = None) -> DataFrame:
     """df with timedelta_prev, session_break, session_id, position, reply_chain_depth and ghosted.
 
     scope global: the message before is the one before in the order of all chats (datetime, source_file, ties), so
@@ -35,7 +108,7 @@ def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float
     the breaks of a chat. Rows without datetime have no place in the order and are left out; a null source_file is a chat
     of its own; a null sender is never you and differs from every neighbour but another null. Equal rows follow each other
     in any order. An empty table gives an empty result with the columns. Columns of these names are replaced, others of any
-    name are carried along.
+    name are carried along. slices: those of df's times, where the caller knows them from a cheaper plan; others are as right.
     """
     if scope not in ("global", "chat"):
         raise ValueError(scope)
@@ -43,7 +116,9 @@ def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float
     order = ["_us", "_chat", *ties]
     needed = list(dict.fromkeys(["source_file", "sender", *ties]))
     rows = df.select(carried(df, *FEATURES), *needed, micros(F.col("datetime")).alias("_us")).where("_us is not null")
-    rows = rows.withColumns({"_slice": F.floor(F.col("_us") / F.lit(slice_s * 1_000_000)).cast("bigint"), "_chat": F.coalesce(F.concat(F.lit("c"), F.col("source_file")), F.lit("n")), "_you": F.coalesce(F.col("sender") == you, F.lit(False))})
+    if slices is None:
+        slices = time_slices(df.select(micros(F.col("datetime")).alias("_us")), "_us", slice_rows)
+    rows = rows.withColumns({"_slice": slices.of(F.col("_us")), "_chat": F.coalesce(F.concat(F.lit("c"), F.col("source_file")), F.lit("n")), "_you": F.coalesce(F.col("sender") == you, F.lit(False))})
     this, place = F.struct("_us", "_chat", "sender", "_you"), F.struct(*order)
 
     def breaks(row: Column, before: Column) -> Column:
@@ -60,13 +135,13 @@ def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float
     local = local.withColumn("_y", F.max(F.when(F.col("_you"), F.col("_c"))).over(sofar))
 
     # one row per slice: what comes before and after it, and the counts at its beginning
-    slices = local.groupBy(*keys, "_slice").agg(F.min_by(this, place).alias("_first"), F.max_by(this, place).alias("_last"), F.max("_c").alias("_m"), F.max("_y").alias("_my"))
+    ends = local.groupBy(*keys, "_slice").agg(F.min_by(this, place).alias("_first"), F.max_by(this, place).alias("_last"), F.max("_c").alias("_m"), F.max("_y").alias("_my"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice") if keys else Window.orderBy("_slice")
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumns({"_before": F.lag("_last").over(by_slice), "_after": F.lead(F.col("_first._us")).over(by_slice)})
-    slices = slices.withColumn("_t", turns(F.col("_first"), F.col("_before")).cast("bigint"))
-    slices = slices.withColumn("_c0", F.coalesce(F.sum(F.col("_m") + F.col("_t")).over(earlier), F.lit(0)) + F.col("_t")).withColumn("_y0", F.max(F.col("_c0") + F.col("_my")).over(earlier))
-    seen = local.join(slices.select(*keys, "_slice", "_before", "_after", "_c0", "_y0"), [*keys, "_slice"])
+    ends = ends.withColumns({"_before": F.lag("_last").over(by_slice), "_after": F.lead(F.col("_first._us")).over(by_slice)})
+    ends = ends.withColumn("_t", turns(F.col("_first"), F.col("_before")).cast("bigint"))
+    ends = ends.withColumn("_c0", F.coalesce(F.sum(F.col("_m") + F.col("_t")).over(earlier), F.lit(0)) + F.col("_t")).withColumn("_y0", F.max(F.col("_c0") + F.col("_my")).over(earlier))
+    seen = local.join(ends.select(*keys, "_slice", "_before", "_after", "_c0", "_y0"), [*keys, "_slice"])
     before, after = F.coalesce("_p", "_before"), F.coalesce("_n", "_after")
     seen = seen.select(
         "_row", *order, "_slice",

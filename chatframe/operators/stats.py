@@ -54,8 +54,8 @@ def size_verdict(splits: DataFrame) -> DataFrame:
 
 
 def recent(df: DataFrame, n: int, *ties: str) -> DataFrame:
-    """The n latest rows with a datetime; null times are no rows of a timeline."""
-    return df.where("datetime is not null").orderBy(F.desc("datetime"), *(F.desc(t) for t in ties)).limit(n)
+    """The n latest rows with a datetime, from the oldest of them; null times are no rows of a timeline."""
+    return df.where("datetime is not null").orderBy(F.desc("datetime"), *(F.desc(t) for t in ties)).limit(n).orderBy("datetime", *ties)
 
 
 def recent_messages(df: DataFrame, n: int, *ties: str, keep: int = 24) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,28 +12,31 @@ from ..functions.pytext import LINE_BREAK, WS, W
 from ..operators import contexts, evaluation, split, stats
 from ..operators.contacts import Contacts, tag_relationships
 from ..operators.dedup import cutoff, dedup_messages
-from ..operators.ordered import order_features
-from ..runtime import table
-from ..sources.exports import SYSTEM_MARKERS, fold_lines, header_time, is_system
+from ..operators.ordered import micros, order_features, time_slices
+from ..runtime import new_folder, table
+from ..sources import records
+from ..sources.exports import SYSTEM_MARKERS, fold_lines, header_time, is_system, parse_exports
 
 YOU = "Tavi"
 TIES = ("line_no", "msg_id")
 AS_OF, MONTHS = "2025-06-01 00:00:00", 24
 #: A neutral list for the word filter.
+BUCKETS = ("english", "hindi")
 LISTED = ("kal", "aaj", "library", "किताब")
 
 
-def _messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Each message once."""
-    return table(spark, folder, "enriched").select("msg_id", "conversation_id", "source_file", "line_no", "datetime", "sender", "text", "is_media", "relationship").distinct()
+def _messages(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Each message once, with the columns that the query needs."""
+    return table(spark, folder, "enriched").select("msg_id", *columns or ("conversation_id", "source_file", "line_no", "datetime", "sender", "text", "is_media", "relationship")).distinct()
 
 
-def _ordered(spark: SparkSession, folder: str, scope: str) -> DataFrame:
-    return order_features(_messages(spark, folder), YOU, scope, ties=TIES)
+def _ordered(spark: SparkSession, folder: str, scope: str, *columns: str) -> DataFrame:
+    times = table(spark, folder, "enriched").select(micros(F.col("datetime")).alias("_us"))  # one column, before any shuffle
+    return order_features(_messages(spark, folder, "source_file", "line_no", "datetime", "sender", *columns), YOU, scope, ties=TIES, slices=time_slices(times))
 
 
 def _windows(spark: SparkSession, folder: str) -> DataFrame:
-    return contexts.context_windows(message.calendar_features(_ordered(spark, folder, "chat")), YOU, ties=TIES)
+    return contexts.context_windows(message.calendar_features(_ordered(spark, folder, "chat", "conversation_id", "text", "relationship")), YOU, ties=TIES)
 
 
 def context_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,6 +78,19 @@ def session_positions(spark: SparkSession, folder: str) -> DataFrame:
     return _ordered(spark, folder, "chat").select("msg_id", "position")
 
 
+def positions_global(spark: SparkSession, folder: str) -> DataFrame:
+    return _ordered(spark, folder, "global").select("msg_id", "position")
+
+
+def ghosted_global(spark: SparkSession, folder: str) -> DataFrame:
+    return _ordered(spark, folder, "global").select("msg_id", "ghosted")
+
+
+def context_windows_global(spark: SparkSession, folder: str) -> DataFrame:
+    rows = contexts.context_windows(message.calendar_features(_ordered(spark, folder, "global", "conversation_id", "text", "relationship")), YOU, ties=TIES)
+    return rows.select("msg_id", "context", "reply", "recipient_name", "timedelta_prev", "position", "reply_chain_depth")
+
+
 def reply_chain_depth(spark: SparkSession, folder: str) -> DataFrame:
     return _ordered(spark, folder, "global").select("msg_id", "reply_chain_depth")
 
@@ -91,12 +109,12 @@ def conversation_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def message_features(spark: SparkSession, folder: str) -> DataFrame:
-    f = message.message_features(_messages(spark, folder))
+    f = message.message_features(_messages(spark, folder, "text"))
     return f.select("msg_id", "message_length", "word_count", "ends_ellipsis", "ends_question", "has_caps_word", "is_single_word", "is_very_short")
 
 
 def emoji_features(spark: SparkSession, folder: str) -> DataFrame:
-    return message.message_features(_messages(spark, folder)).select("msg_id", "emoji_count", "has_emoji")
+    return message.message_features(_messages(spark, folder, "text")).select("msg_id", "emoji_count", "has_emoji")
 
 
 def _documents(spark: SparkSession, folder: str, cleaned) -> DataFrame:
@@ -123,22 +141,36 @@ def clean_wordlist_filter(spark: SparkSession, folder: str) -> DataFrame:
     return _documents(spark, folder, clean.mask_words(F.col("text"), LISTED, "[WORD]"))
 
 
+def clean_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "parsed").select("msg_id", "text").distinct()
+    return clean.clean_messages(rows, devanagari=False, buckets=BUCKETS)
+
+
+def clean_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The buckets of a table of words, a bounded list."""
+    lists: dict[str, list[str]] = {}
+    for r in table(spark, folder, "nsfw_words").where("word is not null").select("bucket", "word").distinct().orderBy("word").limit(10_000).collect():
+        lists.setdefault(r["bucket"], []).append(r["word"])
+    rows = table(spark, folder, "parsed").select("msg_id", "text").distinct()
+    return clean.clean_messages(rows, devanagari=False, pii=False, buckets=tuple(sorted(lists)), lists=lists)
+
+
 def clean_full(spark: SparkSession, folder: str) -> DataFrame:
-    return clean.clean_messages(_messages(spark, folder).select("msg_id", "text"), english=True, masked=LISTED)
+    return clean.clean_messages(_messages(spark, folder, "text").select("msg_id", "text"), english=True, masked=LISTED)
 
 
 def clean_preview_diff(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.cleaning_preview(_messages(spark, folder), clean.clean_text(F.col("text")), 20, "msg_id")
+    return stats.cleaning_preview(_messages(spark, folder, "datetime", "text"), clean.clean_text(F.col("text")), 20, "msg_id")
 
 
 def clean_effect(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.cleaning_effect(_messages(spark, folder), clean.clean_text(F.col("text")))
+    return stats.cleaning_effect(_messages(spark, folder, "text"), clean.clean_text(F.col("text")))
 
 
 def relationships(spark: SparkSession, folder: str) -> DataFrame:
     book = Contacts.from_table(table(spark, folder, "contacts"), YOU)
     book = Contacts(book.names, (("group", "group_close"), ("gang", "group_formal")), book.default, YOU)
-    return tag_relationships(_messages(spark, folder).drop("relationship"), book).select("msg_id", "recipient_phone", "relationship")
+    return tag_relationships(_messages(spark, folder, "source_file", "sender"), book).select("msg_id", "recipient_phone", "relationship")
 
 
 def dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,7 +179,7 @@ def dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def date_cutoff(spark: SparkSession, folder: str) -> DataFrame:
-    return cutoff(_messages(spark, folder), MONTHS, AS_OF).select("msg_id", "datetime")
+    return cutoff(_messages(spark, folder, "datetime"), MONTHS, AS_OF).select("msg_id", "datetime")
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,36 +196,36 @@ def size_verdict(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stats_parsed(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.corpus_stats(_messages(spark, folder))
+    return stats.corpus_stats(_messages(spark, folder, "source_file", "datetime", "is_media"))
 
 
 def stats_you(spark: SparkSession, folder: str) -> DataFrame:
-    s = stats.your_stats(message.message_features(_messages(spark, folder)), YOU)
+    s = stats.your_stats(message.message_features(_messages(spark, folder, "sender", "text")), YOU)
     return s.withColumns({c: F.round(c, 6) for c in ("mean_length", "mean_words")})
 
 
 def by_relationship_bar(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.with_bar(stats.value_counts(_messages(spark, folder), "relationship"))
+    return stats.with_bar(stats.value_counts(_messages(spark, folder, "relationship"), "relationship"))
 
 
 def top_hours(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.top_hours(_messages(spark, folder))
+    return stats.top_hours(_messages(spark, folder, "datetime"))
 
 
 def top_senders_pct(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.share_of_total(_messages(spark, folder), "sender").orderBy(F.desc("n_messages"), "sender").limit(8).withColumn("percent", F.round("percent", 6))
+    return stats.share_of_total(_messages(spark, folder, "sender"), "sender").orderBy(F.desc("n_messages"), "sender").limit(8).withColumn("percent", F.round("percent", 6))
 
 
 def candidate_names(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.candidate_names(_messages(spark, folder))
+    return stats.candidate_names(_messages(spark, folder, "sender"))
 
 
 def recent_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.recent_messages(_messages(spark, folder), 25, "msg_id")
+    return stats.recent_messages(_messages(spark, folder, "datetime", "sender", "text"), 25, "msg_id")
 
 
 def _rendered(spark: SparkSession, folder: str) -> DataFrame:
-    m = _messages(spark, folder).where("datetime is not null and source_file is not null and sender is not null and text is not null")
+    m = _messages(spark, folder, "source_file", "datetime", "sender", "text").where("datetime is not null and source_file is not null and sender is not null and text is not null")
     whole = F.concat(F.date_format("datetime", "dd/MM/yyyy, HH:mm"), F.lit(" - "), "sender", F.lit(": "), "text")
     return m.select("source_file", "msg_id", F.posexplode(F.split(whole, LINE_BREAK)).alias("i", "line")).select("source_file", (F.col("msg_id") * 1000 + F.col("i")).alias("pos"), "line")
 
@@ -202,6 +234,49 @@ def parse_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return fold_lines(_rendered(spark, folder)).select("source_file", (F.col("line_no") / 1000).cast("bigint").alias("msg_id"), "datetime", "sender", "text", "is_media")
 
 
+def _written_exports(spark: SparkSession, folder: str) -> str:
+    """A new folder of one text file per chat."""
+    at = new_folder(spark, "exports")
+    lines = _rendered(spark, folder).repartition("source_file").sortWithinPartitions("source_file", "pos")
+    lines.withColumnRenamed("line", "value").select("source_file", "value").write.partitionBy("source_file").text(f"{at}/by_chat")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(at).getFileSystem(spark._jsc.hadoopConfiguration())
+    for chat in fs.listStatus(jvm.Path(f"{at}/by_chat")):
+        if chat.isDirectory():
+            name = unquote(chat.getPath().getName().split("=", 1)[1])
+            (part,) = fs.listStatus(chat.getPath())
+            fs.rename(part.getPath(), jvm.Path(at, f"{name}.txt"))
+    return at
+
+
+def export_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages rendered as export files, one per chat, and read back."""
+    return parse_exports(spark, _written_exports(spark, folder), check=False).select("source_file", "datetime", "sender", "text", "is_media")
+
+
+def stage_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A stage table written and read back."""
+    at = new_folder(spark, "stage")
+    records.write_stage(_messages(spark, folder, "datetime", "sender", "text"), at)
+    return records.read_stage(spark, at).select("msg_id", "datetime", "sender", "text")
+
+
+def _written_splits(spark: SparkSession, folder: str) -> str:
+    at = new_folder(spark, "splits")
+    records.write_splits(_records(spark, folder), at)
+    return at
+
+
+def split_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The samples of each split written as JSON Lines and read back."""
+    at = _written_splits(spark, folder)
+    return records.read_splits(spark, {s: f"{at}/{s}.jsonl" for s in ("train", "val", "test")})
+
+
+def split_file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return records.line_counts(spark, f"{_written_splits(spark, folder)}/*.jsonl")
+
+
 def parse_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events").select("event_id", "ts")
     forms = {"dmy4": ("dd/MM/yyyy", "HH:mm"), "mdy4": ("MM/dd/yyyy", "H:mm"), "dmy2": ("d/M/yy", "hh:mm a"), "mdy2": ("M/d/yy", "h:mm a")}
@@ -209,7 +284,7 @@ def parse_timestamps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def system_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return _messages(spark, folder).where(~is_system(F.coalesce("sender", F.lit("")), F.coalesce("text", F.lit("")))).select("msg_id", clean.is_media(F.col("text")).alias("is_media"))
+    return _messages(spark, folder, "sender", "text").where(~is_system(F.coalesce("sender", F.lit("")), F.coalesce("text", F.lit("")))).select("msg_id", clean.is_media(F.col("text")).alias("is_media"))
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +323,7 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LIST = (
-    context_windows, recipient_last_other, context_chatml, prompts, running_context, temporal_features, sessionize_global, sessionize_chat, session_positions, reply_chain_depth,
+    context_windows, recipient_last_other, context_chatml, prompts, running_context, temporal_features, sessionize_global, sessionize_chat, session_positions, reply_chain_depth, positions_global, ghosted_global, context_windows_global, clean_buckets, clean_lists, export_files, stage_file, split_files, split_file_lines,
     reply_depth_events, ghosted_chat, conversation_id, message_features, emoji_features, clean_pii, clean_urls, clean_devanagari, clean_english, clean_wordlist_filter, clean_full,
     clean_preview_diff, clean_effect, date_cutoff, stratified_split_counts, size_verdict, stats_parsed, stats_you, by_relationship_bar, top_hours, top_senders_pct, candidate_names,
     recent_messages, parse_roundtrip, parse_timestamps, system_filter, chatml_extract, eval_previews, eval_last_context, eval_summary, split_lines, jsonl_roundtrip,
@@ -305,8 +380,8 @@ _ENGLISH = _values(clean.ENGLISH_WORDS.split())
 _EDGE = rf"^[^{W}\x{{0900}}-\x{{097F}}]+|[^{W}\x{{0900}}-\x{{097F}}]+$"
 
 
-def _masked(t: str, mask: str) -> str:
-    return f"array_to_string(list_transform({_tokens(t)}, lambda x: case when list_contains({_values(LISTED)}, {_g('lower(x)', _EDGE, '')}) then '{mask}' else x end), ' ')"
+def _masked(t: str, mask: str, words=LISTED) -> str:
+    return f"array_to_string(list_transform({_tokens(t)}, lambda x: case when list_contains({words if isinstance(words, str) else _values(words)}, {_g('lower(x)', _EDGE, '')}) then '{mask}' else x end), ' ')"
 
 
 def _without_english(t: str) -> str:
@@ -331,12 +406,20 @@ def _redact(t: str, keep: int) -> str:
 
 _PLAIN_CLEAN = _cleaned(_space(_pii(_g("text", clean.DEVANAGARI, ""))))
 _FULL_CLEAN = _cleaned(_space(_masked(_without_english(_pii(_g("text", clean.DEVANAGARI, ""))), "[NSFW]")))
+_BUCKETS_CLEAN = _cleaned(_space(_masked(_pii("text"), "[NSFW]", clean.active_words(BUCKETS))))
+_LISTS_CLEAN = _cleaned(_space(_masked("text", "[NSFW]", "listed")))
 _SYSTEM = contexts.SYSTEM_PROMPT.format(your_name=YOU).replace("'", "''")
 _OPEN = f"'<|im_start|>system\n{_SYSTEM}\n<|im_end|>\n<|im_start|>user\n'"
-_W = _features("chat") + f""", w as (select *, list({{'s': coalesce(sender, 'null'), 't': coalesce(text, 'null')}}) over (partition by conversation_id, source_file, session_id order by us, line_no, msg_id rows between 5 preceding and 1 preceding) l from f),
+
+
+def _windows_sql(scope: str) -> str:
+    return _features(scope) + f""", w as (select *, list({{'s': coalesce(sender, 'null'), 't': coalesce(text, 'null')}}) over (partition by conversation_id, source_file, session_id order by us, line_no, msg_id rows between 5 preceding and 1 preceding) l from f),
 c as (select *, case when len(coalesce(l, [])) = 0 then '{contexts.NO_CONTEXT}' else array_to_string(list_transform(l, lambda x: x.s || ': ' || x.t), chr(10)) end context, text reply,
  coalesce(list_filter(l, lambda x: x.s <> '{YOU}')[-1].s, 'unknown') recipient_name, cast(hour(datetime) as int) h, dayname(datetime) day_name, cast(trunc(timedelta_prev) as bigint) since from w where you)
 """
+
+
+_W = _windows_sql("chat")
 _RECORDS = "r as (select sample_id, text, 'train' split from train union all select sample_id, text, 'val' from val union all select sample_id, text, 'test' from test)"
 _USER = _strip(r"regexp_extract(text, '(?s)<\|im_start\|>user\n(.*?)<\|im_end\|>', 1)")
 _REPLY = _strip(r"regexp_extract(text, '(?s)^.*?<\|im_start\|>assistant\n(.*)<\|im_end\|>', 1)")
@@ -350,6 +433,11 @@ _EVENTS = "r as (select event_id, epoch_us(ts) us, 'cuser_' || user_id chat, eve
 _MIN = "date_trunc('minute', ts)"
 _SWAPPED = "case when day(ts) <= 12 then make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), 0.0) else date_trunc('minute', ts) end"
 
+_PARSED = f"""with {_M}, a as (select *, translate(sender, chr(8239) || chr(160), '  ') who, list_transform(regexp_split_to_array(translate(text, chr(8239) || chr(160), '  '), '{LINE_BREAK}'), lambda x: {_strip('x')}) l,
+ regexp_split_to_array(translate(text, chr(8239) || chr(160), '  '), '{LINE_BREAK}')[1] head from m where datetime is not null and source_file is not null and sender is not null and text is not null)
+select source_file, msg_id, date_trunc('minute', datetime) datetime, {_strip('who')} sender, array_to_string(list_concat([l[1]], list_filter(l[2:], lambda x: x <> '')), ' ') as text, contains(head, '<Media omitted>') or contains(lower(head), 'image omitted') is_media from a
+where {_strip('who')} not in ('', '~') and not ({' or '.join(f"contains(lower(head), '{m}')" for m in SYSTEM_MARKERS)})"""
+
 SQL = {
     "context_windows": _W + "select msg_id, context, reply, relationship, h as hour, day_name, isodow(datetime) in (6, 7) is_weekend, since timedelta_prev, position, reply_chain_depth from c",
     "recipient_last_other": _W + "select msg_id, recipient_name from c",
@@ -361,6 +449,14 @@ SQL = {
     "sessionize_chat": _features("chat") + "select msg_id, timedelta_prev, session_break, session_id from f",
     "session_positions": _features("chat") + "select msg_id, position from f",
     "reply_chain_depth": _features("global") + "select msg_id, reply_chain_depth from f",
+    "positions_global": _features("global") + "select msg_id, position from f",
+    "ghosted_global": _features("global") + "select msg_id, ghosted from f",
+    "context_windows_global": _windows_sql("global") + "select msg_id, context, reply, recipient_name, since timedelta_prev, position, reply_chain_depth from c",
+    "clean_buckets": f"select * from (select msg_id, {_BUCKETS_CLEAN} as text from (select distinct msg_id, text from parsed)) where text is not null",
+    "clean_lists": f"select * from (select msg_id, {_LISTS_CLEAN} as text from (select distinct msg_id, text from parsed), (select list(distinct lower(trim(word))) listed from nsfw_words where trim(word) <> '')) where text is not null",
+    "stage_file": f"with {_M} select msg_id, datetime, sender, text from m",
+    "split_files": f"with {_RECORDS} select text, split from r where text is not null",
+    "split_file_lines": f"with {_RECORDS} select split, count(*) n_lines from r where text is not null group by 1",
     "reply_depth_events": _features("chat", _EVENTS, "event_id") + "select event_id, timedelta_prev, session_id, position, reply_chain_depth, ghosted from f",
     "ghosted_chat": _features("chat") + "select msg_id, ghosted from f",
     "conversation_id": "select source_file, left(md5(source_file), 8) conversation_id from (select distinct source_file from enriched)",
@@ -395,10 +491,8 @@ from m join g on m.sender is not distinct from g.sender and m.source_file is not
     "top_senders_pct": f"with {_M} select sender, count(*) n_messages, round(count(*) * 100.0::double / (select count(*) from m), 6) percent from m group by 1 order by 2 desc, 1 nulls first limit 8",
     "candidate_names": f"with {_M} select sender, count(*) n_messages from m where {_strip('sender')} <> '' group by 1 order by 2 desc, 1 limit 5",
     "recent_messages": f"with {_M} select msg_id, strftime(datetime, '%d %b %H:%M') shown_at, left(sender, 20) sender, left(coalesce({_redact('text', 24)}, '[DROPPED]'), 60) preview from m where datetime is not null order by datetime desc, msg_id desc limit 25",
-    "parse_roundtrip": f"""with {_M}, a as (select *, translate(sender, chr(8239) || chr(160), '  ') who, list_transform(regexp_split_to_array(translate(text, chr(8239) || chr(160), '  '), '{LINE_BREAK}'), lambda x: {_strip('x')}) l,
- regexp_split_to_array(translate(text, chr(8239) || chr(160), '  '), '{LINE_BREAK}')[1] head from m where datetime is not null and source_file is not null and sender is not null and text is not null)
-select source_file, msg_id, date_trunc('minute', datetime) datetime, {_strip('who')} sender, array_to_string(list_concat([l[1]], list_filter(l[2:], lambda x: x <> '')), ' ') as text, contains(head, '<Media omitted>') or contains(lower(head), 'image omitted') is_media from a
-where {_strip('who')} not in ('', '~') and not ({' or '.join(f"contains(lower(head), '{m}')" for m in SYSTEM_MARKERS)})""",
+    "parse_roundtrip": _PARSED,
+    "export_files": f"select source_file, datetime, sender, text, is_media from ({_PARSED}) qualify row_number() over (partition by datetime, sender, text order by source_file, msg_id) = 1",
     "parse_timestamps": f"select event_id, {_MIN} dmy4, {_SWAPPED} mdy4, {_MIN} dmy2, {_SWAPPED} mdy2 from events",
     "system_filter": f"with {_M} select msg_id, {_MEDIA} is_media from m where not ({_MARKED}) and {_strip("coalesce(sender, '')")} not in ('', '~')",
     "chatml_extract": f"with {_RECORDS} select sample_id, {_USER} as context, {_REPLY} reply, {_PREFIX} as prompt from r where text is not null",

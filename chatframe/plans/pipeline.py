@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..operators.ordered import order_features
 from ..operators.split import reply_length, stratified_split
 from ..schema import Settings
 from ..sources.exports import parse_exports
-from ..sources.records import write_splits, write_stage
+from ..sources.records import read_word_lists, read_words, write_splits, write_stage
 
 
 def enrich(df: DataFrame, settings: Settings, contacts: Contacts | None = None) -> DataFrame:
@@ -42,12 +43,12 @@ class Pipeline:
     contacts: Contacts | None = None
 
     def parse(self, path: str, as_of=None) -> DataFrame:
-        parsed = parse_exports(self.spark, path)
-        return cutoff(parsed, self.settings.cutoff_months, as_of) if as_of is not None else parsed
+        """Messages of the last cutoff_months before as_of, by default now."""
+        return cutoff(parse_exports(self.spark, path, check=False), self.settings.cutoff_months, as_of or datetime.now())
 
     def clean(self, parsed: DataFrame) -> DataFrame:
         s = self.settings
-        return clean_messages(parsed, devanagari=s.remove_devanagari, english=s.remove_english, masked=s.mask_words)
+        return clean_messages(parsed, devanagari=s.remove_devanagari, english=s.remove_english, masked=s.mask_words, english_words=read_words(s.english_words), buckets=s.mask_buckets, lists=read_word_lists(s.word_lists))
 
     def features(self, cleaned: DataFrame) -> DataFrame:
         return enrich(cleaned, self.settings, self.contacts)
@@ -63,6 +64,8 @@ class Pipeline:
             return self.spark.read.parquet(f"{out}/{name}.parquet")
 
         parsed = stored(self.parse(path, as_of), "parsed")
+        if parsed.isEmpty():
+            raise ValueError(f"no messages in {path} since the cutoff")
         enriched = stored(self.features(stored(self.clean(parsed), "cleaned")), "enriched")
         contexts = stored(self.samples(enriched), "contexts")
         write_splits(contexts, out)

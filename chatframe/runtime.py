@@ -6,6 +6,7 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,17 +16,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder in spark.checkpoint.dir, which survives the loss of executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share and which survives their loss.
 
     Only where the session names no folder (tests on one machine) a local one is set.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
         if not named and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="chatframe-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

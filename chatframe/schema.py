@@ -15,6 +15,14 @@ EVALUATION = "id bigint, generated string, context_preview string, true_preview
 RELATIONSHIPS = ("best_friend", "close_friend", "girlfriend", "family", "colleague", "acquaintance", "stranger", "group_close", "group_formal")
 
 
+
+def relationship(value: str) -> str:
+    """value if it is a relationship that a contact may have; raises otherwise."""
+    if value not in RELATIONSHIPS:
+        raise ValueError(f"{value!r} is none of {', '.join(RELATIONSHIPS)}")
+    return value
+
+
 @dataclass(frozen=True)
 class Settings:
     """Defaults as a user of chat exports expects them."""
@@ -29,4 +37,7 @@ class Settings:
     remove_devanagari: bool = True
     remove_english: bool = False
     mask_words: tuple[str, ...] = field(default=())
+    mask_buckets: tuple[str, ...] = field(default=())
+    word_lists: str | None = None
+    english_words: str | None = None
     scope: str = "global"

@@ -17,6 +17,7 @@ SYSTEM_MARKERS = (
 )
 #: The form of a header line, and of a notice's.
 HEADER = rf"^({D}{{1,2}}/{D}{{1,2}}/{D}{{2,4}}),[{WS}]*({D}{{1,2}}:{D}{{2}}(?:[{WS}]*[AaPp][Mm])?)[{WS}]*-[{WS}]*([^:]+):[{WS}](.*)$"
+SLICE_LINES = 200_000
 NOTICE_HEADER = rf"^{D}{{1,2}}/{D}{{1,2}}/{D}{{2,4}},[{WS}]*{D}{{1,2}}:{D}{{2}}(?:[{WS}]*[AaPp][Mm])?[{WS}]*-[{WS}]"
 
 
@@ -46,19 +47,26 @@ def is_system(sender: Column, text: Column) -> Column:
     return found | strip(sender).isin("", "~")
 
 
-def fold_lines(lines: DataFrame, drop_headerless_notices: bool = False) -> DataFrame:
+def fold_lines(lines: DataFrame, drop_headerless_notices: bool = False, slice_lines: int = SLICE_LINES) -> DataFrame:
     """Messages of numbered lines: source_file, pos, line -> the parsed schema.
 
     A header opens a message, the lines up to the next header continue it, stripped and joined by a blank. What precedes
     the first header, and a message with an impossible date or of the app, is dropped with its continuation. Notices
-    without a colon continue the message before, unless drop_headerless_notices.
+    without a colon continue the message before, unless drop_headerless_notices. A chat of any length is folded in slices of
+    slice_lines values of pos; only the lines of one message meet in one row. Lines without source_file are left out.
     """
     line = F.translate("line", "\u202f\u00a0", "  ")
     marked = lines.select("source_file", "pos", line.alias("line"), line.rlike(HEADER).alias("_head"))
     if drop_headerless_notices:
         marked = marked.where(F.col("_head") | ~F.col("line").rlike(NOTICE_HEADER))
-    w = Window.partitionBy("source_file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = marked.withColumn("_block", F.max(F.when(F.col("_head"), F.col("pos"))).over(w)).where("_block is not null")
+    # a chat is cut into slices of lines; the last header before a slice comes along
+    marked = marked.withColumn("_slice", F.floor(F.col("pos") / slice_lines).cast("bigint"))
+    head = F.when(F.col("_head"), F.col("pos"))
+    ends = marked.groupBy("source_file", "_slice").agg(F.max(head).alias("_end"))
+    before = ends.select("source_file", "_slice", F.max("_end").over(Window.partitionBy("source_file").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    w = Window.partitionBy("source_file", "_slice").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    local = marked.withColumn("_local", F.max(head).over(w)).join(before, ["source_file", "_slice"])
+    blocks = local.withColumn("_block", F.coalesce("_local", "_before")).where("_block is not null")
     part = F.when(F.col("_head"), strip(F.regexp_extract("line", HEADER, 4))).otherwise(F.nullif(strip(F.col("line")), F.lit("")))
     grouped = blocks.groupBy("source_file", "_block").agg(F.min_by("line", "pos").alias("_line"), F.array_sort(F.collect_list(F.when(part.isNotNull(), F.struct("pos", part.alias("s"))))).alias("_parts"))
     g = [F.regexp_extract("_line", HEADER, i) for i in range(5)]
@@ -78,8 +86,9 @@ def read_lines(spark: SparkSession, path: str, keep_bom: bool = False) -> DataFr
     return whole.select("source_file", F.posexplode(F.split("value", LINE_BREAK)).alias("pos", "line"))
 
 
-def parse_exports(spark: SparkSession, path: str, dedup: bool = True, **options) -> DataFrame:
-    """All messages of a folder of exports, each once. Raises if there is no file or no message.
+def parse_exports(spark: SparkSession, path: str, dedup: bool = True, check: bool = True, **options) -> DataFrame:
+    """All messages of a folder of exports, each once. Raises if there is no file or, with check, no message; the check
+    runs the parse until it finds one, so callers that store the result should check that instead.
 
     Files whose names begin with ``_`` or ``.`` are skipped by the reader, with a warning.
     """
@@ -93,6 +102,6 @@ def parse_exports(spark: SparkSession, path: str, dedup: bool = True, **options)
     if hidden := [s.getPath().getName() for s in status if s.getPath().getName()[0] in "._"]:
         logging.getLogger(__name__).warning("skipped: %s", ", ".join(hidden))
     out = fold_lines(read_lines(spark, path), **options)
-    if out.isEmpty():
+    if check and out.isEmpty():
         raise ValueError(f"no messages in {path}")
     return dedup_messages(out) if dedup else out

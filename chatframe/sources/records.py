@@ -8,6 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.clean import ENGLISH_WORDS, NSFW_WORDS
 from ..schema import EVALUATION, SAMPLE
 
 
@@ -79,18 +80,19 @@ def write_evaluation(df: DataFrame, path: str, most: int = 100_000) -> None:
         json.dump([json.loads(r) for r in rows], f, ensure_ascii=False, indent=2)
 
 
-def read_words(path: str, default: tuple[str, ...] = ()) -> tuple[str, ...]:
-    """Lower-case words of a text file in order, or default if there is none."""
-    if not os.path.exists(path):
+def read_words(path: str | None, default: tuple[str, ...] = tuple(ENGLISH_WORDS.split())) -> tuple[str, ...]:
+    """Lower-case words of a text file in order, or default (the built-in English words) if there is none."""
+    if not path or not os.path.exists(path):
         return default
     with open(path, encoding="utf-8") as f:
         return tuple(dict.fromkeys(f.read().lower().split()))
 
 
-def read_word_lists(path: str, default: dict[str, tuple[str, ...]] | None = None) -> dict[str, tuple[str, ...]]:
-    """Words by list of a JSON object, stripped, lower case, blank ones dropped; default if there is no file."""
-    if not os.path.exists(path):
-        return default or {}
+def read_word_lists(path: str | None, default: dict[str, tuple[str, ...]] | None = None) -> dict[str, tuple[str, ...]]:
+    """Words by bucket of a JSON object, stripped, lower case, blank ones dropped; default (the built-in buckets) if there
+    is no file."""
+    if not path or not os.path.exists(path):
+        return {k: tuple(v.split()) for k, v in NSFW_WORDS.items()} if default is None else default
     with open(path, encoding="utf-8") as f:
         return {k: tuple(dict.fromkeys(str(w).strip().lower() for w in ws if str(w).strip())) for k, ws in json.load(f).items()}
 

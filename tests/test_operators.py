@@ -13,7 +13,7 @@ from chatframe.operators import evaluation, split, stats
 from chatframe.operators.contacts import Contacts, tag_relationships
 from chatframe.operators.contexts import append_context, chatml, context_windows, prompt
 from chatframe.operators.dedup import cutoff, dedup_messages
-from chatframe.operators.ordered import order_features
+from chatframe.operators.ordered import order_features, time_slices
 from chatframe.plans.pipeline import Pipeline
 from chatframe.schema import Settings
 from chatframe.sources import records
@@ -55,12 +55,21 @@ def test_order_features_against_a_loop(spark, scope):
         rows.append((t, rng.choice(["a", "b", "b", None]), rng.choice(["You", "P", "Q", None]), i))
     rows.append((None, "a", "P", 1000))
     df = spark.createDataFrame([(*r, 7, "x") for r in rows], MSG + ", _us int, session_id string")
-    out = order_features(df, "You", scope, slice_s=86_400)
+    out = order_features(df, "You", scope, slice_rows=40)
     assert out.columns[:5] == ["datetime", "source_file", "sender", "line_no", "_us"]
     got = {r["line_no"]: [r["timedelta_prev"], r["session_break"], r["session_id"], r["reply_chain_depth"], r["ghosted"], r["position"]] for r in out.collect()}
     assert got == loop(rows, "You", scope)
 
 
+def test_no_slice_holds_a_busy_day(spark):
+    # nine tenths of the rows in one minute of ten years
+    times = spark.range(20_000).selectExpr("if(id % 10 = 0, id * 15768000000, 100000000000000 + id * 3000) as _us")
+    s = time_slices(times, "_us", 500)
+    got = times.select("_us", s.of(F.col("_us")).alias("s")).orderBy("_us").collect()
+    assert max(Counter(r["s"] for r in got).values()) <= 500 and [r["s"] for r in got] == sorted(r["s"] for r in got)
+    assert time_slices(times.limit(0)).of_cell == (0,)
+
+
 def test_depth_example_and_empty(spark):
     rows = [(T0 + timedelta(minutes=i), "a", s, i) for i, s in enumerate(["You", "A", "A", "B", "You", "B"])]
     got = order_features(spark.createDataFrame(rows, MSG), "You").orderBy("line_no").collect()
@@ -139,6 +148,7 @@ def test_fold(spark):
     assert got[("b", 5)]["datetime"] == datetime(2024, 2, 1, 22, 15)
     assert "joined" not in "".join(r["text"] for r in fold_lines(lines, drop_headerless_notices=True).collect())
     assert fold_lines(lines.limit(0)).count() == 0
+    assert sorted(map(tuple, fold_lines(lines, slice_lines=2).collect())) == sorted(map(tuple, got.values()))
     odd = fold_lines(spark.createDataFrame([("f", 0, "1/2/2024, 10:15\u202fpm - A: x\u00a0y")], "source_file string, pos int, line string")).first()
     assert (odd["datetime"], odd["text"]) == (datetime(2024, 2, 1, 22, 15), "x y")
 
@@ -163,7 +173,9 @@ def test_exports_and_pipeline(spark, tmp_path):
     assert {r["source_file"] for r in parsed.select("source_file").distinct().collect()} == {"Rahul 50%.v2", "Asha+1", "bad"}
     assert "�" in parsed.where("source_file = 'bad'").first()["text"]
     assert read_lines(spark, str(tmp_path / "raw"), keep_bom=True).where("pos = 0").count() == 3
-    out = Pipeline(spark, Settings(scope="chat"), Contacts.of([("Rahul", "1", "family")])).run(str(tmp_path / "raw"), str(tmp_path / "out"))
+    out = Pipeline(spark, Settings(scope="chat"), Contacts.of([("Rahul", "1", "family")])).run(str(tmp_path / "raw"), str(tmp_path / "out"), T0 + timedelta(days=30))
+    with pytest.raises(ValueError, match="cutoff"):  # by default what is older than 24 months of 30 days before now goes
+        Pipeline(spark).run(str(tmp_path / "raw"), str(tmp_path / "old")) if T0 < datetime.now() - timedelta(days=721) else Pipeline(spark).run(str(tmp_path / "raw"), str(tmp_path / "old"), T0 + timedelta(days=9999))
     # the owner's equal messages of the same minute in two chats count once
     assert out.count() == 15 and {"train", "val", "test"} >= {r["split"] for r in out.collect()}
     assert records.read_samples(spark, str(tmp_path / "out" / "train.jsonl")).count() == out.where("split = 'train'").count()
@@ -188,6 +200,7 @@ def test_records(spark, tmp_path):
     (tmp_path / "w.txt").write_text("The  a\nthe")
     (tmp_path / "w.json").write_text(json.dumps({"x": [" A ", "", "b"]}))
     assert records.read_words(str(tmp_path / "w.txt")) == ("the", "a") and records.read_word_lists(str(tmp_path / "w.json")) == {"x": ("a", "b")} and records.read_words("/nowhere", ("d",)) == ("d",)
+    assert "although" in records.read_words(None) and set(records.read_word_lists(None)) == {"english", "hinglish", "hindi"}
     work = tmp_path / "work"
     work.mkdir()
     (work / "big.txt").write_text("x" * 10)
@@ -212,7 +225,7 @@ def test_reports(spark):
     assert [tuple(r) for r in stats.top_hours(df).collect()] == [(13, "1 PM", 2), (10, "10 AM", 1)]
     assert stats.share_of_total(df, "sender").where("sender = 'B'").first()["percent"] == 50.0
     assert tuple(stats.size_verdict(spark.range(3000)).first()) == (3000, "usable") and stats.size_verdict(spark.range(0)).first()["verdict"] == "small"
-    assert [r["preview"] for r in stats.recent_messages(df, 2, "text").collect()] == ["x 👍", "[DROPPED]"]
+    assert [r["preview"] for r in stats.recent_messages(df, 3, "text").collect()] == ["hello", "[DROPPED]", "x 👍"]  # the oldest of them first
     unchanged = stats.cleaning_preview(df.where("text = 'hello'"), F.col("text"), 5, "text")
     assert [r["changed"] for r in unchanged.collect()] == [False]
     assert tuple(stats.cleaning_effect(df, F.lit(None).cast("string")).first()) == (4, 3, 4)

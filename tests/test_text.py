@@ -52,3 +52,13 @@ def test_tokens_and_ids(spark):
     assert apply(spark, [" a  b ", ""], tokens) == [["a", "b"], []]
     assert apply(spark, ["Rahul Chat"], message.conversation_id) == [__import__("hashlib").md5(b"Rahul Chat").hexdigest()[:8]]
     assert [r[0] for r in spark.range(24).select(message.twelve_hour(F.col("id"))).collect()][::11] == ["12 AM", "11 AM", "10 PM"]
+
+
+def test_buckets(spark):
+    def cleaned(text, **rules):
+        return spark.range(1).select(clean.clean_text(F.lit(text), devanagari=False, **rules).alias("x")).first()["x"]
+
+    assert cleaned("this is fucking wild bc", buckets=("english", "hinglish")) == "this is [NSFW] wild [NSFW]"
+    assert cleaned("this is fucking wild bc", buckets=("english",)) == "this is [NSFW] wild bc"
+    assert cleaned("तू हरामी है", buckets=("hindi",)) == "तू [NSFW] है" and cleaned("तू हरामी है") == "तू हरामी है"
+    assert cleaned("a b, c", buckets=("own", "none"), lists={"own": ("B",)}) == "a [NSFW] c"
