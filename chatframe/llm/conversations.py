@@ -71,20 +71,38 @@ def verdicts(said: DataFrame) -> DataFrame:
     return agg.select("conversation_id", status.alias("status"), "n_owner", "n_contact")
 
 
+def _placed(lines: DataFrame, order: list[str]) -> DataFrame:
+    """lines with prev: at_us and role of the line before in the conversation, by one exchange of the lines.
+
+    lines: conversation_id, slice, at_us, role and the columns of order. Windows and groups by (conversation, slice) take
+    the partitioning of the exchange; only one row per slice moves again.
+    """
+    spread = lines.repartition("conversation_id", "slice").distinct()
+    edges = spread.groupBy("conversation_id", "slice").agg(F.max_by(F.struct("at_us", "role"), F.struct(*order)).alias("end"))
+    before = edges.select("conversation_id", "slice", F.lag("end").over(Window.partitionBy("conversation_id").orderBy("slice")).alias("before"))
+    here = F.lag(F.struct("at_us", "role")).over(Window.partitionBy("conversation_id", "slice").orderBy(*order))
+    return spread.withColumn("here", here).join(before, ["conversation_id", "slice"]).withColumn("prev", F.coalesce("here", "before")).drop("here", "before")
+
+
+def _sliced(said: DataFrame, slice_s: int) -> DataFrame:
+    return said.withColumn("slice", F.floor(F.col("at_us") / F.lit(slice_s * 1_000_000)))
+
+
 def gap_limits(said: DataFrame, *, bins: int = 120, least_s: int = 900, most_s: int = 86_400, default_s: int = 3600) -> DataFrame:
     """The calibrated inactivity gap of all chats, one row gap_us: the emptiest place between least_s and most_s in the
     histogram of log2 gaps (bins of a tenth of an octave), smoothed over five bins. Histogram and result are bounded.
+
+    said: conversation_id, at_us, line_no, msg_id; rows without a time have no gap.
     """
-    day, at = Window.partitionBy("conversation_id", "day"), F.col("at_us")
-    timed = said.where("at_us is not null").withColumn("day", F.floor(at / 86_400_000_000))
-    inside = timed.select((at - F.lag("at_us").over(day.orderBy("at_us", "line_no", "msg_id"))).alias("gap"))
-    # gaps across midnight, from the edges of the days: one row a day of a conversation
-    days = timed.groupBy("conversation_id", "day").agg(F.min("at_us").alias("first"), F.max("at_us").alias("last"))
-    across = days.select((F.col("first") - F.lag("last").over(Window.partitionBy("conversation_id").orderBy("day"))).alias("gap"))
-    gaps = inside.unionByName(across).where("gap > 0")
+    rows = said.where("at_us is not null").select("conversation_id", "at_us", "line_no", "msg_id", F.lit(None).cast("string").alias("role"))
+    return _limit(_placed(_sliced(rows, 86_400), ["at_us", "line_no", "msg_id"]), least_s, most_s, default_s)
+
+
+def _limit(placed: DataFrame, least_s: int = 900, most_s: int = 86_400, default_s: int = 3600) -> DataFrame:
+    gaps = placed.select((F.col("at_us") - F.col("prev.at_us")).alias("gap")).where("gap > 0")
     hist = gaps.groupBy(F.floor(F.log2(F.col("gap") / 1e6) * 10).cast("int").alias("bin")).count()
     lo, hi = (int(math.log2(s) * 10) for s in (least_s, most_s))
-    every = said.sparkSession.range(lo - 2, hi + 3).select(F.col("id").cast("int").alias("bin")).join(F.broadcast(hist), "bin", "left").na.fill(0, ["count"])
+    every = placed.sparkSession.range(lo - 2, hi + 3).select(F.col("id").cast("int").alias("bin")).join(F.broadcast(hist), "bin", "left").na.fill(0, ["count"])
     smooth = every.withColumn("mass", F.sum("count").over(Window.orderBy("bin").rowsBetween(-2, 2))).where(F.col("bin").between(lo, hi))
     best = smooth.agg(F.min(F.struct("mass", F.abs(F.col("bin") - int(math.log2(default_s) * 10)), "bin")).alias("b"))
     return best.select((F.pow(F.lit(2.0), (F.col("b.bin") + 0.5) / 10) * 1_000_000).cast("bigint").alias("gap_us"))
@@ -101,14 +119,10 @@ def rebuild(df: DataFrame, owners: DataFrame, *, slice_s: int = 86_400) -> DataF
     """
     said = messages(df, owners)
     kept = said.join(verdicts(said).where("status = 'kept'").select("conversation_id"), "conversation_id", "left_semi")
-    lines = kept.where("has_content").distinct().withColumn("slice", F.floor(F.col("at_us") / F.lit(slice_s * 1_000_000)))
-    limit = gap_limits(lines)
     order = ["at_us", "line_no", "msg_id"]
+    placed = _placed(_sliced(kept.where("has_content").drop("has_content"), slice_s), order)
     inside = Window.partitionBy("conversation_id", "slice").orderBy(*order)
-    edges = lines.groupBy("conversation_id", "slice").agg(F.max_by(F.struct("at_us", "role"), F.struct(*order)).alias("end"))
-    before = edges.select("conversation_id", "slice", F.lag("end").over(Window.partitionBy("conversation_id").orderBy("slice")).alias("before"))
-    prev = F.coalesce(F.lag(F.struct("at_us", "role")).over(inside), F.col("before"))
-    marked = lines.join(before, ["conversation_id", "slice"]).withColumn("prev", prev).crossJoin(F.broadcast(limit))
+    marked = placed.crossJoin(F.broadcast(_limit(placed)))  # one row
     marked = marked.withColumn("new_session", F.coalesce(F.col("at_us") - F.col("prev.at_us") > F.col("gap_us"), F.lit(True)))
     marked = marked.withColumn("new_turn", F.col("new_session") | (F.col("role") != F.col("prev.role")))
     sofar = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -121,5 +135,5 @@ def rebuild(df: DataFrame, owners: DataFrame, *, slice_s: int = 86_400) -> DataF
         F.min_by("speaker", F.struct(*order)).alias("speaker"), F.min("at_us").alias("start_us"), F.max("at_us").alias("end_us"), F.count("*").alias("n_messages"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda x: x.text), "\n").alias("text"),
     )
-    good = turns.groupBy("conversation_id", "session_no").agg(F.min(F.when(F.col("role") == "contact", F.col("turn_no"))).alias("c"), F.max(F.when(F.col("role") == "owner", F.col("turn_no"))).alias("o")).where("o > c")
+    good = placed.groupBy("conversation_id", "session_no").agg(F.min(F.when(F.col("role") == "contact", F.col("turn_no"))).alias("c"), F.max(F.when(F.col("role") == "owner", F.col("turn_no"))).alias("o")).where("o > c")
     return turns.join(good.select("conversation_id", "session_no"), ["conversation_id", "session_no"], "left_semi")

@@ -133,14 +133,30 @@ def _seen(column: str) -> str:
 
 _SPOKEN = r"""regexp_replace(regexp_extract(text, '(?s)<\|im_start\|>user\n(.*?)<\|im_end\|>', 1), '(?:^|\n)\[[^\n]*\n*$', chr(10)) || chr(10) || regexp_extract(text, '(?s)<\|im_start\|>assistant\n?(.*?)(?:<\|im_end\|>|$)', 1)"""
 
+_DROPPED = """a as (select conversation_id, bool_or(content) said, bool_or(content and (who is null or t is null)) broken, min(case when content and who not in (select n from o) then t end) c,
+ max(case when content and who in (select n from o) then t end) y from m group by 1)"""
+
 #: The queries that SQL can express; the others are tested against brute force, round trips and held-out accuracy.
 SQL = {
     "p1_found": f"""with o as (select distinct {_seen("name")} n from owner_names where name is not null),
 m as (select conversation_id, cast(epoch_us(datetime) as hugeint) * 1000000000 + line_no as t, nullif(nullif({_seen("sender")}, ''), '~') who,
  coalesce({_seen("text")} <> '' and not regexp_matches({_seen("text")}, '{conversations.NOTICE}'), false) content from enriched where conversation_id is not null),
-a as (select conversation_id, bool_or(content) said, bool_or(content and (who is null or t is null)) broken, min(case when content and who not in (select n from o) then t end) c,
- max(case when content and who in (select n from o) then t end) y from m group by 1)
+{_DROPPED}
 select conversation_id from a where not (said and not broken and coalesce(y > c, false))""",
+    "p1_turns": f"""with o as (select distinct {_seen("name")} n from owner_names where name is not null),
+m as (select distinct conversation_id, msg_id, line_no, epoch_us(datetime) us, cast(epoch_us(datetime) as hugeint) * 1000000000 + line_no as t, text, nullif(nullif({_seen("sender")}, ''), '~') who,
+ coalesce({_seen("text")} <> '' and not regexp_matches({_seen("text")}, '{conversations.NOTICE}'), false) content from enriched where conversation_id is not null),
+{_DROPPED},
+l as (select *, case when who in (select n from o) then 'owner' else 'contact' end as role, lag(us) over w pus, lag(case when who in (select n from o) then 'owner' else 'contact' end) over w prole
+ from m where content and conversation_id in (select conversation_id from a where said and not broken and coalesce(y > c, false)) window w as (partition by conversation_id order by us, line_no, msg_id)),
+h as (select cast(floor(log2((us - pus) / 1e6) * 10) as int) bin, count(*) n from l where us > pus group by 1),
+b as (select r.bin, sum(coalesce(n, 0)) over (order by r.bin rows between 2 preceding and 2 following) mass from (select cast(unnest(range(96, 166)) as int) bin) r left join h on r.bin = h.bin),
+g as (select cast(trunc(pow(2.0, (bin + 0.5) / 10) * 1000000) as bigint) gap from b where bin between 98 and 163 order by mass, abs(bin - 118), bin limit 1),
+s as (select l.*, pus is null or us - pus > gap as fresh from l, g),
+n as (select *, sum(cast(fresh as int)) over w session_no, sum(cast(fresh or role <> prole as int)) over w turn_no from s window w as (partition by conversation_id order by us, line_no, msg_id rows unbounded preceding)),
+k as (select conversation_id, session_no from n group by all having min(case when role = 'contact' then turn_no end) < max(case when role = 'owner' then turn_no end))
+select conversation_id, cast(session_no as bigint) session_no, cast(turn_no as bigint) turn_no, role, first(who order by us, line_no, msg_id) speaker, min(us) start_us, max(us) end_us, count(*) n_messages, string_agg(text, chr(10) order by us, line_no, msg_id) as text
+from n semi join k using (conversation_id, session_no) group by conversation_id, session_no, turn_no, role""",
     "p6_found": """with recursive d as (select distinct conversation_id c, right(regexp_replace(translate(recipient_phone, '०१२३४५६७८९٠١٢٣٤٥٦٧٨٩', '01234567890123456789'), '[^0-9]', '', 'g'), 10) p from contexts where conversation_id is not null),
 l as (select c, p from d where length(p) = 10 and p <> repeat(left(p, 1), 10)),
 e as (select distinct x.c a, y.c b from l x join l y using (p)),
