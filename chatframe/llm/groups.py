@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import sys
 import unicodedata
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -104,14 +103,11 @@ def _difference(weights: list[float], bins: int) -> list[int]:
     return out
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Items of one stratum in a batch go into BINS equal bins; the bins are named by their smallest item."""
-    for pdf in batches:
-        for _, own in pdf.groupby("stratum", sort=False):
-            for at in range(0, len(own), BLOCK):
-                part = own.iloc[at : at + BLOCK].sort_values(["w", "item"], ascending=[False, True])
-                b = pd.Series(_difference(part.w.tolist(), BINS), index=part.index)
-                yield pd.DataFrame({"stratum": part.stratum, "item": part["item"], "w": part.w, "bin": part["item"].groupby(b).transform("min")})
+def _block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The items of one block of a stratum into BINS equal bins, which are named by their smallest item."""
+    pdf = pdf.sort_values(["w", "item"], ascending=[False, True], ignore_index=True)
+    b = pd.Series(_difference(pdf.w.tolist(), BINS))
+    return pd.DataFrame({"stratum": pdf.stratum, "item": pdf["item"], "w": pdf.w, "bin": pdf["item"].groupby(b).transform("min")})
 
 
 def _allot(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,7 +128,7 @@ def grouped_split(df: DataFrame, groups: DataFrame, record: str = "sample_id", u
 
     groups: unit, group_id. Records count once. A record without unit is a group of its own; a group belongs to the
     stratum that most of its records name (the smallest of equals; null counts as a stratum of its own). Strata of many
-    groups are first binned in blocks of at most BLOCK groups by largest differencing, then the bins are binned again,
+    groups are first binned in blocks of about BLOCK groups, told apart by a hash, by largest differencing, then the bins are binned again,
     until at most most_items are left per stratum; whole bins then go to the splits. A group heavier than a split's share
     goes to train.
     """
@@ -142,12 +138,23 @@ def grouped_split(df: DataFrame, groups: DataFrame, record: str = "sample_id", u
     items = counts.groupBy("group_id").agg(F.sum("count").cast("double").alias("w"), F.min(F.struct(-F.col("count"), "stratum")).alias("s")).select(F.col("group_id").alias("item"), "w", F.col("s.stratum").alias("stratum"))
     item_of = items.select(F.col("item").alias("group_id"), "item")
     # always one round in blocks, more while a stratum has too many items for one task
+    most = items.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0
     while True:
-        binned = cut(items.repartition(F.col("stratum"), F.pmod(F.xxhash64("item"), F.lit(64))).mapInPandas(_blocks, "stratum string, item string, w double, bin string"))
+        block = F.pmod(F.xxhash64("item"), F.lit(max(1, -(-most // BLOCK)))).cast("int")
+        binned = cut(items.withColumn("block", block).groupBy("stratum", "block").applyInPandas(_block, "stratum string, item string, w double, bin string"))
         item_of = item_of.join(binned.select("item", "bin"), "item").select("group_id", F.col("bin").alias("item"))
         items = binned.groupBy("stratum", F.col("bin").alias("item")).agg(F.sum("w").alias("w"))
-        if (items.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0) <= most_items:
+        most = items.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0
+        if most <= most_items:
             break
     split = items.groupBy("stratum").applyInPandas(_allot, "stratum string, item string, split string").select("item", "split")
     placed = item_of.join(split, "item").select("group_id", "split")
     return rows.join(placed, "group_id").select(record, unit, "group_id", F.nullif("stratum", F.lit("")).alias(stratum), "split")
+
+
+def wholeness(split: DataFrame, record: str = "sample_id", unit: str = "conversation_id") -> DataFrame:
+    """One row: n_records, n_twice (records with several rows), n_torn (groups and units in several splits)."""
+    once = split.groupBy(record).count().agg(F.count("*").alias("n_records"), F.count_if(F.col("count") > 1).alias("n_twice"))
+    ends = split.select("split", F.explode(F.array(F.concat(F.lit("g"), "group_id"), F.concat(F.lit("u"), unit))).alias("of")).where("of is not null").distinct()
+    torn = ends.groupBy("of").count().agg(F.count_if(F.col("count") > 1).alias("n_torn"))
+    return once.join(torn)  # one row each

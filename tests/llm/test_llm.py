@@ -89,9 +89,21 @@ def test_grouped_split(spark):
     assert out.count() == len(rows) and out.groupBy("group_id").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
     share = {r["split"]: r["count"] / len(rows) for r in out.groupBy("split").count().collect()}
     assert all(abs(share[s] - want) < 0.02 for s, want in groups.SPLITS.items()), share
+    even = df.where("conversation_id <> 'hot'")  # where no group outweighs a split's share
+    for r in groups.grouped_split(even, g).groupBy("relationship").agg(*(F.avg((F.col("split") == x).cast("int")).alias(x) for x in groups.SPLITS)).collect():
+        assert all(abs(r[x] - want) < 0.05 for x, want in groups.SPLITS.items()), r
+    assert groups.wholeness(out).first().asDict() == {"n_records": len(rows), "n_twice": 0, "n_torn": 0}
     assert groups.grouped_split(df.limit(0), g).count() == 0
 
 
+def test_blocks_of_groups_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(groups, "BLOCK", 30)
+    df = spark.range(2000).selectExpr("id as sample_id", "concat('c', id % 300) as conversation_id", "cast(null as string) as recipient_phone", "'x' as relationship")
+    g = groups.conversation_groups(df)
+    a, b = (sorted(map(tuple, groups.grouped_split(d, g, most_items=100).collect())) for d in (df, df.repartition(9)))
+    assert a == b and len(a) == 2000
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60), st.integers(1, 6))
 def test_differencing_puts_every_item_into_a_bin(weights, bins):
