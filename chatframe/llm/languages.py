@@ -31,6 +31,7 @@ SPELLINGS = {
 }
 _PREFIX = re.compile(r"^[\s\u200e\u200f\ufeff]*(?:\[?\d{1,4}[./-]\d{1,2}[./-]\d{1,4},?\s+\d{1,2}:\d{2}(?::\d{2})?(?:\s*[apAP]\.?[mM]\.?)?\]?(?:\s+-)?\s*)?(?:[^\s:<>{}\"“”?!,.][^:\n<>{}\"?!]{0,30}:\s+(?=\S))?")
 _CODE = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|<\|[^|>\n]*\|>|[@#]\w+|^\s*[{\[]\s*[\"'{\[\d].*[}\]]\s*$", re.M)
+_CODE_SIGN = re.compile(r"[@#<{\[/]|www\.")
 _NOTICE = re.compile(r"^[\s\u200e<]*(?:(?:media|image|video|audio|sticker|gif|document|contact\s+card|photo|file|voice\s+message)\s+omitted|this\s+message\s+was\s+deleted|you\s+deleted\s+this\s+message|missed\s+(?:voice|video|group)\s+call|messages\s+and\s+calls\s+are\s+end-to-end\s+encrypted.*)[\s>.]*$", re.I)
 _SENTENCE = re.compile(r"[.!?।…]+[\"'”)»]*(?=\s|$)|(?<=[^\W\d_])\.{2,}| [-–—] ")
 _SOUND = re.compile(r"(.)\1{3,}|(..)\2+.?")
@@ -56,8 +57,10 @@ def segments(text: str) -> Iterator[tuple[int, int]]:
 
 def tokens(text: str) -> list[str]:
     """Lower-case words; links, addresses, markers, code and drawn-out sounds (hahaha, aaaa) left out."""
-    words = _TOKEN.findall(unicodedata.normalize("NFC", _CODE.sub(" ", text)).lower())
-    return [w for w in words if len(w) < 4 or not _SOUND.fullmatch(w)]
+    if _CODE_SIGN.search(text):
+        text = _CODE.sub(" ", text)
+    words = _TOKEN.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
+    return [w for w in words if w[:2] != w[2:4] or not _SOUND.fullmatch(w)]
 
 
 def _ngrams(word: str) -> list[str]:
@@ -144,7 +147,7 @@ class Profiles:
         order = of * 256 + 255 - np.minimum(count, 255)
         known = gram < len(self.place)
         levels = np.unique(order[known])
-        rank = np.searchsorted(levels, order) - np.searchsorted(levels, of * 256)
+        rank = np.searchsorted(levels, order) - np.searchsorted(levels, np.arange(len(segs)) * 256)[of]
         out = np.abs(self.log[gram] - np.where(known, np.log1p(rank), 0).astype(np.float32)[:, None])
         heads = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
         mass = np.add.reduceat(count, heads)
