@@ -178,8 +178,9 @@ def _train(rows: list[list[int]], kind: np.ndarray, n: int, seed: int = 7, prior
         return w, b, prior
 
     def logits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        idx = np.concatenate([flat[at[i] : at[i + 1]] for i in ids])
-        owner = np.repeat(np.arange(len(ids)), lens[ids])
+        n_ = lens[ids]
+        owner = np.repeat(np.arange(len(ids)), n_)
+        idx = flat[np.arange(len(owner)) + np.repeat(at[ids] - np.cumsum(n_) + n_, n_)]
         return b + np.bincount(owner, w[idx], len(ids)), idx, owner
 
     steps = max(30, len(unl) // 1000)
