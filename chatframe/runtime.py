@@ -51,8 +51,14 @@ def spread(df: DataFrame) -> DataFrame:
 
     Only plans that read and project are looked at: asking a plan with a shuffle for its partitions would run it.
     """
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    if re.search("Exchange|Aggregate|Join|Window|Sort|Limit", plan):
+
+    def nodes(plan):
+        yield plan.nodeName()
+        below = plan.children()
+        for i in range(below.size()):
+            yield from nodes(below.apply(i))
+
+    if any(re.search("Exchange|Aggregate|Join|Window|Sort|Limit|CartesianProduct", n) for n in nodes(df._jdf.queryExecution().sparkPlan())):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
