@@ -135,19 +135,20 @@ class Profiles:
         if not lens.sum():
             return best, conf
         word, starts, grams, whole = self._words([w for x in segs for w in x])
-        seg = np.repeat(np.arange(len(segs)), lens)
+        kind = np.int32 if len(segs) * max(len(self.log), 256) < 2**31 else np.int64  # the narrower sorts and divides faster
+        seg = np.repeat(np.arange(len(segs), dtype=kind), lens)
         n = starts[word + 1] - starts[word]
         at = np.repeat(starts[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        key = np.repeat(seg, n) * len(self.log) + grams[at]
+        key = np.repeat(seg, n) * kind(len(self.log)) + grams[at].astype(kind, copy=False)
         key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.diff(np.append(first, len(key)))
-        of, gram = np.divmod(key[first], len(self.log))
+        of, gram = np.divmod(key[first], kind(len(self.log)))
         # ranks in the segment: how many other frequencies are above; n-grams of no profile have none
-        order = of * 256 + 255 - np.minimum(count, 255)
+        order = of * kind(256) + (255 - np.minimum(count, 255)).astype(kind)
         known = gram < len(self.place)
         levels = np.unique(order[known])
-        rank = np.searchsorted(levels, order) - np.searchsorted(levels, np.arange(len(segs)) * 256)[of]
+        rank = np.searchsorted(levels, order) - np.searchsorted(levels, np.arange(len(segs), dtype=kind) * kind(256))[of]
         out = np.abs(self.log[gram] - np.where(known, np.log1p(rank), 0).astype(np.float32)[:, None])
         heads = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
         mass = np.add.reduceat(count, heads)
