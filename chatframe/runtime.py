@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import shutil
@@ -19,14 +20,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share and which survives their loss.
 
-    Only where the session names no folder (tests on one machine) a local one is set.
+    Only where the session names no folder (tests on one machine) a local one is set, which goes with the process.
     """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
         if not named and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="chatframe-"))
+        if not named:
+            named = tempfile.mkdtemp(prefix="chatframe-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
