@@ -18,7 +18,7 @@ from ..functions.pytext import bind, constant
 SLICE_ROWS, SLICES = 1_000_000, 128
 #: Equal stretches of time that a slice is made of on average, the most there are in all, and the parts that a stretch with
 #: too many rows is cut into.
-SLICE_CELLS, CELLS, PARTS = 16, 65_536, 256
+SLICE_CELLS, CELLS, PARTS, DEPTH = 16, 65_536, 256, 4
 
 
 def micros(c: Column) -> Column:
@@ -44,60 +44,93 @@ def _part(us: Column, low: Column, high: Column) -> Column:
 class TimeSlices:
     """Slices of time: stretches of width us from low on, each in a slice or, where it is crowded, cut into PARTS.
 
-    crowded: first and last time of each such stretch and the slices of its parts.
+    crowded: first and last time of each such stretch and the slices of its parts; a negative number n instead of a slice
+    is the place -1 - n in crowded, where the stretch or part is cut further, depth times at most.
     """
 
     low: int = 0
     width: int = 1
     of_cell: tuple[int, ...] = (0,)
     crowded: tuple[tuple[int, int, tuple[int, ...]], ...] = ()
+    depth: int = 0
 
     def of(self, us: Column) -> Column:
         """The number of a time's slice; later times are never in earlier slices."""
         cell = F.floor((us - F.lit(self.low)) / F.lit(self.width)).cast("int")
-        slice_ = constant(list(self.of_cell), "array<int>")[F.greatest(F.lit(0), F.least(F.lit(len(self.of_cell) - 1), cell))]
+        out = constant(list(self.of_cell), "array<int>")[F.greatest(F.lit(0), F.least(F.lit(len(self.of_cell) - 1), cell))]
         if not self.crowded:
-            return slice_
+            return out
         parts = constant([{"a": a, "b": b, "p": list(p)} for a, b, p in self.crowded], "array<struct<a:bigint,b:bigint,p:array<int>>>")
-        return bind(slice_, lambda s: F.when(s >= 0, s).otherwise(bind(parts[F.greatest(F.lit(0), -1 - s)], lambda c: c["p"][_part(us, c["a"], c["b"])])))
+
+        def inner(s: Column) -> Column:
+            here = bind(parts[F.greatest(F.lit(0), F.least(F.lit(len(self.crowded) - 1), -1 - s))], lambda c: c["p"][_part(us, c["a"], c["b"])])
+            return F.when((s >= 0) | (-1 - s >= len(self.crowded)), s).otherwise(here)
+
+        for _ in range(self.depth):
+            out = bind(out, inner)
+        return out
 
 
 def time_slices(times: DataFrame, us: str = "_us", most: int = SLICE_ROWS) -> TimeSlices:
-    """Slices of at most about most rows of a column of microseconds, from two or three counts of it.
+    """Slices of at most about most rows of a column of microseconds, from two or more counts of it.
 
-    The driver sees one number per stretch of time, at most CELLS, and PARTS for each that has too many rows of its own,
-    fewer than CELLS / 8. Rows of one instant, and of one part, stay together.
+    The driver sees one number per stretch of time, at most CELLS, and PARTS for each that has too many rows of its own;
+    those parts that still have too many are counted again, up to DEPTH times. Rows of one instant stay together.
     """
     low, high, n = times.agg(F.min(us), F.max(us), F.count(us)).first()
     most = max(min(most, max(1, n // SLICES)), 8 * n // CELLS)
     if n <= most:
         return TimeSlices()
     width = max(1, -(-(high - low + 1) // min(CELLS, SLICE_CELLS * -(-n // most))))
-    cell = F.floor((F.col(us) - F.lit(low)) / F.lit(width)).cast("int")
-    seen = times.where(F.col(us).isNotNull())
-    counts = {r["c"]: r for r in seen.groupBy(cell.alias("c")).agg(F.count("*").alias("n"), F.min(us).alias("a"), F.max(us).alias("b")).collect()}
-    inner: dict[int, dict[int, int]] = {c: {} for c, r in counts.items() if r["n"] > most and r["b"] > r["a"]}
-    if inner:
-        ends = constant({str(c): [counts[c]["a"], counts[c]["b"]] for c in inner}, "map<string,array<bigint>>")
-        crowd = seen.select(F.col(us).alias("us"), cell.alias("c"), F.try_element_at(ends, cell.cast("string")).alias("e")).where("e is not null")
-        for c, p, k in crowd.groupBy("c", _part(F.col("us"), F.col("e")[0], F.col("e")[1]).alias("p")).count().collect():
-            inner[c][p] = k
-    now, held, of_cell, crowded = 0, 0, [], []
-
-    def take(k: int) -> int:
+    seen = times.where(F.col(us).isNotNull()).select(F.col(us).alias("us"))
+    n_cells = -(-(high - low + 1) // width)
+
+    def counted(df: DataFrame, *keys: Column) -> dict[tuple, tuple[int, int, int]]:
+        """Rows, first and last time by keys."""
+        return {tuple(r[:-3]): tuple(r[-3:]) for r in df.groupBy(*keys).agg(F.count("*"), F.min("us"), F.max("us")).collect()}
+
+    stretches: list[tuple[int, int, list]] = []  # first and last time, and by part either its rows or the place of its own stretch
+
+    def entry(found: tuple[int, int, int] | None) -> tuple[str, int]:
+        """How many rows a cell or part has, or, if they are too many, where it is cut further."""
+        k, a, b = found or (0, 0, 0)
+        if k <= most or a == b or depth == DEPTH:
+            return "rows", k
+        stretches.append((a, b, []))
+        return "place", len(stretches) - 1
+
+    depth, done = 0, 0
+    by_cell = counted(seen, F.floor((F.col("us") - F.lit(low)) / F.lit(width)).cast("int"))
+    cells = [entry(by_cell.get((c,))) for c in range(n_cells)]
+    numbered = lambda entries: tuple(-1 - x if kind == "place" else 0 for kind, x in entries)
+    while done < len(stretches):
+        known = TimeSlices(low, width, numbered(cells), tuple((a, b, numbered(e)) for a, b, e in stretches[:done]), depth)
+        ends = constant({str(i): list(stretches[i][:2]) for i in range(done, len(stretches))}, "map<string,array<bigint>>")
+        crowd = seen.select("us", known.of(F.col("us")).alias("s")).where("s < 0").select("us", (-1 - F.col("s")).alias("i")).withColumn("e", F.try_element_at(ends, F.col("i").cast("string")))
+        by_part = counted(crowd, F.col("i"), _part(F.col("us"), F.col("e")[0], F.col("e")[1]))
+        depth, begin, done = depth + 1, done, len(stretches)
+        for i in range(begin, done):
+            stretches[i][2].extend(entry(by_part.get((i, p))) for p in range(PARTS))
+    now, held = 0, 0
+
+    def numbers(entries: list) -> tuple[int, ...]:
+        """The slices of cells or parts in order of time."""
         nonlocal now, held
-        if held and held + k > most:
-            now, held = now + 1, 0
-        held += k
-        return now
-
-    for c in range(-(-(high - low + 1) // width)):
-        if c in inner:
-            of_cell.append(-1 - len(crowded))
-            crowded.append((counts[c]["a"], counts[c]["b"], tuple(take(inner[c].get(p, 0)) for p in range(PARTS))))
-        else:
-            of_cell.append(take(counts[c]["n"] if c in counts else 0))
-    return TimeSlices(low, width, tuple(of_cell), tuple(crowded))
+        out = []
+        for kind, x in entries:
+            if kind == "place":
+                final[x] = (*stretches[x][:2], numbers(stretches[x][2]))
+                out.append(-1 - x)
+                continue
+            if held and held + x > most:
+                now, held = now + 1, 0
+            held += x
+            out.append(now)
+        return tuple(out)
+
+    final: list = [None] * len(stretches)
+    of_cell = numbers(cells)
+    return TimeSlices(low, width, of_cell, tuple(final), depth)
 
 
 def order_features(df: DataFrame, you: str, scope: str = "global", gap_s: float = 3600, ghost_s: float = 86_400, slice_rows: int = SLICE_ROWS, ties: tuple[str, ...] = ("line_no",), slices: TimeSlices | None = None) -> DataFrame:
