@@ -5,7 +5,7 @@ neighbouring atoms, the largest gap at the root. Every node knows its span, its
 leaf) and the gap of its parent (null at the root). The sessions for a threshold are the nodes with
 ``gap <= threshold < parent_gap``, a plain filter: one stored tree serves every threshold from the slot length up.
 
-Events are counted into slots first, by (entity, slot), so even a busy day of one entity is spread over many tasks. The
+Events are counted into slots first, by (entity, day), so a busy entity is spread over as many tasks as it has days. The
 tree is built per chunk (entity, stretch of time), so an entity with a third of all rows is spread over as many tasks as it
 has stretches, and a chunk holds at most as many atoms as it has slots. In a chunk every gap that is no maximum seen from one of the chunk's ends has its parent inside the
 chunk; those nodes are final. What remains, the two spines, is merged per entity. Atoms, chunks and so the merge are
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLOT_S = 60
+DAY_S = 86_400
 CHUNK_S = 30 * 86400
 
 _NODE = "start_us bigint, end_us bigint, n_events bigint, gap_us bigint, parent_gap_us bigint"
@@ -151,13 +152,14 @@ def gap_tree(df: DataFrame, entity: str, ts: str, event_id: str, *, slot_s: int
         raise ValueError("a threshold below the slot length needs a tree with shorter slots")
     us = None if threshold_s is None else threshold_s * 1_000_000
     events = df.select(F.col(entity).cast("string").alias("entity"), _micros(ts).alias("us"), F.col(event_id).alias("id")).where("entity is not null and us is not null")
-    # events move to the task of their slot, both groupings need no other exchange; atoms, one a slot, to that of their chunk
+    # events move to the task of their day, both groupings need no other exchange; atoms, one a slot, to that of their chunk
     chunk, slot = (F.floor(F.col("us") / F.lit(s * 1_000_000)).cast("int") for s in (chunk_s, slot_s))
-    spread = events.withColumns({"chunk": chunk, "slot": slot}).repartition("entity", "chunk", "slot")
+    day = F.floor(slot / F.lit(max(1, DAY_S // slot_s))).cast("int")  # whole slots
+    spread = events.withColumns({"chunk": chunk, "day": day, "slot": slot}).repartition("entity", "chunk", "day")
     atoms = (
-        spread.groupBy("entity", "chunk", "slot", "id", F.when(F.col("id").isNull(), F.col("us"))).agg(F.min("us").alias("us"))
-        .groupBy("entity", "chunk", "slot").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("*").alias("n_events"))
-        .repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "slot")
+        spread.groupBy("entity", "chunk", "day", "slot", "id", F.when(F.col("id").isNull(), F.col("us"))).agg(F.min("us").alias("us"))
+        .groupBy("entity", "chunk", "day", "slot").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("*").alias("n_events"))
+        .drop("day").repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "slot")
     )
     local = atoms.mapInPandas(lambda b: _chunks(b, us), f"entity string, {_NODE}, is_item boolean")
     merged = local.where("is_item").drop("is_item").repartition("entity").sortWithinPartitions("entity", "start_us").mapInPandas(lambda b: _merge(b, us), f"entity string, {_NODE}")
