@@ -7,7 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import cut
 
+#: Kept conversations up to which their ids are broadcast, some 30 MB.
+MOST_BROADCAST = 500_000
 #: What exporting apps write in place of a medium, a deleted message or a missed call (whole text).
 NOTICE = (
     r"^<?\s*(?:(?:media|image|video|audio|sticker|gif|document|photo|picture|file|voice message|voice note|contact card|contact|location|poll|view once message)s? (?:message )?(?:omitted|not included|was not included)"
@@ -118,7 +121,8 @@ def rebuild(df: DataFrame, owners: DataFrame, *, slice_s: int = 86_400) -> DataF
     what came before, so a conversation of any length is spread over as many tasks as it has days.
     """
     said = messages(df, owners)
-    kept = said.join(verdicts(said).where("status = 'kept'").select("conversation_id"), "conversation_id", "left_semi")
+    good = cut(verdicts(said).where("status = 'kept'").select("conversation_id"))
+    kept = said.join(F.broadcast(good) if good.count() <= MOST_BROADCAST else good, "conversation_id", "left_semi")
     order = ["at_us", "line_no", "msg_id"]
     placed = _placed(_sliced(kept.where("has_content").drop("has_content"), slice_s), order)
     inside = Window.partitionBy("conversation_id", "slice").orderBy(*order)
@@ -131,9 +135,12 @@ def rebuild(df: DataFrame, owners: DataFrame, *, slice_s: int = 86_400) -> DataF
     earlier = Window.partitionBy("conversation_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     shift = totals.select("conversation_id", "slice", F.coalesce(F.sum("ns").over(earlier), F.lit(0)).alias("s0"), F.coalesce(F.sum("nt").over(earlier), F.lit(0)).alias("t0"))
     placed = part.join(shift, ["conversation_id", "slice"]).withColumns({"session_no": F.col("s") + F.col("s0"), "turn_no": F.col("t") + F.col("t0")})
-    turns = placed.groupBy("conversation_id", "session_no", "turn_no", "role").agg(
+    # the answered sessions of each slice, so that lines are chosen where they are
+    parts = cut(placed.groupBy("conversation_id", "slice", "session_no").agg(F.min(F.when(F.col("role") == "contact", F.col("turn_no"))).alias("c"), F.max(F.when(F.col("role") == "owner", F.col("turn_no"))).alias("o")))
+    answered = parts.groupBy("conversation_id", "session_no").agg(F.min("c").alias("c"), F.max("o").alias("o")).where("o > c").select("conversation_id", "session_no")
+    lists = parts.join(answered, ["conversation_id", "session_no"]).groupBy("conversation_id", "slice").agg(F.collect_set("session_no").alias("answered"))
+    chosen = placed.join(lists, ["conversation_id", "slice"]).where(F.array_contains("answered", F.col("session_no")))
+    return chosen.groupBy("conversation_id", "session_no", "turn_no", "role").agg(
         F.min_by("speaker", F.struct(*order)).alias("speaker"), F.min("at_us").alias("start_us"), F.max("at_us").alias("end_us"), F.count("*").alias("n_messages"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda x: x.text), "\n").alias("text"),
     )
-    good = placed.groupBy("conversation_id", "session_no").agg(F.min(F.when(F.col("role") == "contact", F.col("turn_no"))).alias("c"), F.max(F.when(F.col("role") == "owner", F.col("turn_no"))).alias("o")).where("o > c")
-    return turns.join(good.select("conversation_id", "session_no"), ["conversation_id", "session_no"], "left_semi")
