@@ -136,7 +136,7 @@ def rebuild(df: DataFrame, owners: DataFrame, *, slice_s: int = 86_400) -> DataF
     shift = totals.select("conversation_id", "slice", F.coalesce(F.sum("ns").over(earlier), F.lit(0)).alias("s0"), F.coalesce(F.sum("nt").over(earlier), F.lit(0)).alias("t0"))
     placed = part.join(shift, ["conversation_id", "slice"]).withColumns({"session_no": F.col("s") + F.col("s0"), "turn_no": F.col("t") + F.col("t0")})
     # the answered sessions of each slice, so that lines are chosen where they are
-    parts = cut(placed.groupBy("conversation_id", "slice", "session_no").agg(F.min(F.when(F.col("role") == "contact", F.col("turn_no"))).alias("c"), F.max(F.when(F.col("role") == "owner", F.col("turn_no"))).alias("o")))
+    parts = placed.groupBy("conversation_id", "slice", "session_no").agg(F.min(F.when(F.col("role") == "contact", F.col("turn_no"))).alias("c"), F.max(F.when(F.col("role") == "owner", F.col("turn_no"))).alias("o"))
     answered = parts.groupBy("conversation_id", "session_no").agg(F.min("c").alias("c"), F.max("o").alias("o")).where("o > c").select("conversation_id", "session_no")
     lists = parts.join(answered, ["conversation_id", "session_no"]).groupBy("conversation_id", "slice").agg(F.collect_set("session_no").alias("answered"))
     chosen = placed.join(lists, ["conversation_id", "slice"]).where(F.array_contains("answered", F.col("session_no")))
