@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -284,6 +285,39 @@ def test_contained_pairs(spark):
     assert overlap.contained_pairs(df.limit(0)).count() == 0
 
 
+def test_contained_pairs_blocks(spark):
+    """Blocks are packed once and read where they meet, without a shuffle of copies; repeated rows give a pair once; words beyond those with a bit."""
+    rng = random.Random(15)
+    text = lambda ws: f"<|im_start|>user\n{' '.join(ws)}\n[m]\n<|im_end|>\n<|im_start|>assistant\nok<|im_end|>"
+    said = [[f"w{rng.randint(0, 6000)}" for _ in range(rng.choice([19, 25, 40, 120]))] for _ in range(60)] + [[f"w{k}" for k in range(3000)]]
+    for ws in said[:60]:
+        said.append([w for w in ws if rng.random() < 0.8] + [f"w{rng.randint(0, 6000)}" for _ in range(rng.randint(0, 30))])
+    rows = [(i, rng.choice(["train", "val", "test"]), "f", text(ws)) for i, ws in enumerate(said)]
+    want = brute([(i, s, t) for i, s, _, t in rows])
+    assert len(want) > 20
+    df = spark.createDataFrame(rows + rows[:40] + [(i, s, None, t) for i, s, _, t in rows[60:]], "sample_id bigint, split string, source_file string, text string")
+    pairs = overlap.contained_pairs(df, block=32)
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    got = [(r["id_a"], r["id_b"]) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_contained_columns():
+    """Few columns where a few hundred words recur in several languages, and sums that are never below the common words."""
+    rng = np.random.default_rng(3)
+    tongues = [rng.integers(-(2**62), 2**62, 400) for _ in range(3)]
+    records = [np.unique(rng.choice(tongues[i % 3], rng.integers(30, 80))) for i in range(900)]
+    flat = np.concatenate(records)
+    own = np.sort(np.unique(flat)[: overlap.OWN])
+    block = overlap._packed(np.arange(900), np.array(["val"] * 900, object), np.array([len(r) for r in records]), flat, own)
+    column, width = overlap._columns(block, overlap.SHARE)
+    assert width < 1024
+    dense = overlap._dense(block, np.arange(900), column, width)
+    sums = (dense @ dense.T).astype(int)
+    for i, j in rng.integers(0, 900, (300, 2)):
+        assert sums[i, j] >= len(np.intersect1d(records[block.ids[i]], records[block.ids[j]]))
+
+
 def test_contained_counts(spark):
     from chatframe.llm.queries import QUERIES
 
