@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from ..operators.dedup import cutoff, dedup_messages
 from ..operators.ordered import micros, order_features, time_slices
 from ..runtime import new_folder, table
 from ..sources import records
-from ..sources.exports import SYSTEM_MARKERS, fold_lines, header_time, is_system, parse_exports
+from ..sources.exports import SYSTEM_MARKERS, chat_name, fold_lines, header_time, is_system, parse_exports, write_exports
 
 YOU = "Tavi"
 TIES = ("line_no", "msg_id")
@@ -237,21 +235,14 @@ def parse_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def _written_exports(spark: SparkSession, folder: str) -> str:
     """A new folder of one text file per chat."""
     at = new_folder(spark, "exports")
-    lines = _rendered(spark, folder).repartition("source_file").sortWithinPartitions("source_file", "pos")
-    lines.withColumnRenamed("line", "value").select("source_file", "value").write.partitionBy("source_file").text(f"{at}/by_chat")
-    jvm = spark._jvm.org.apache.hadoop.fs
-    fs = jvm.Path(at).getFileSystem(spark._jsc.hadoopConfiguration())
-    for chat in fs.listStatus(jvm.Path(f"{at}/by_chat")):
-        if chat.isDirectory():
-            name = unquote(chat.getPath().getName().split("=", 1)[1])
-            (part,) = fs.listStatus(chat.getPath())
-            fs.rename(part.getPath(), jvm.Path(at, f"{name}.txt"))
+    write_exports(_rendered(spark, folder), at)
     return at
 
 
 def export_files(spark: SparkSession, folder: str) -> DataFrame:
     """The messages rendered as export files, one per chat, and read back."""
-    return parse_exports(spark, _written_exports(spark, folder), check=False).select("source_file", "datetime", "sender", "text", "is_media")
+    read = parse_exports(spark, _written_exports(spark, folder), dedup=False, check=False)
+    return dedup_messages(read.withColumn("source_file", chat_name(F.col("source_file")))).select("source_file", "datetime", "sender", "text", "is_media")
 
 
 def stage_file(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,7 +17,7 @@ from chatframe.operators.ordered import order_features, time_slices
 from chatframe.plans.pipeline import Pipeline
 from chatframe.schema import Settings
 from chatframe.sources import records
-from chatframe.sources.exports import fold_lines, header_time, parse_exports, read_lines
+from chatframe.sources.exports import chat_name, fold_lines, header_time, parse_exports, read_lines, write_exports
 from chatframe.streaming.live import clean_stream, session_stream
 
 T0 = datetime(2024, 1, 1, 10)
@@ -185,6 +185,37 @@ def test_exports_and_pipeline(spark, tmp_path):
         parse_exports(spark, str(tmp_path / "out"))
 
 
+def test_many_export_files(spark, tmp_path):
+    """A file per chat without a step of the driver per file, read back in few tasks; names that no file can have come back."""
+    names = [f"chat {i}" for i in range(300)] + ["a/b", "a:b", "_x", ".y", "50%2F", "%5Fz", "किताब+1", "", "v.2"]
+    lines = lambda some: spark.createDataFrame([(n, k, f"0{1 + k}/01/2024, 10:00 - Asha: {n} {k}") for n in some for k in (2, 0, 1)], "source_file string, pos bigint, line string")
+    at, calls, send = str(tmp_path / "out"), [], spark._jvm._gateway_client.send_command
+
+    def asked(df, to):
+        """The calls to the JVM that writing and planning the reading take, without those of releasing objects; the messages."""
+        calls.clear()
+        write_exports(df, to)
+        read = parse_exports(spark, to, check=False)
+        return sum(not c.startswith("m") for c in calls), read
+
+    ten, all_ = lines(names[:10]), lines(names)
+    spark._jvm._gateway_client.send_command = lambda c, *a, **k: calls.append(c) or send(c, *a, **k)
+    try:
+        few, _ = asked(ten, str(tmp_path / "few"))
+        many, got = asked(all_, at)
+    finally:
+        del spark._jvm._gateway_client.send_command
+    assert many < few + len(names), (few, many)
+    assert len([f for f in os.listdir(at) if f.endswith(".txt")]) == len(names) == len(os.listdir(at))
+    assert (tmp_path / "out" / "chat 7.txt").read_text() == "".join(f"0{1 + k}/01/2024, 10:00 - Asha: chat 7 {k}\n" for k in range(3))
+    assert sorted((r["c"], r["text"]) for r in got.select(chat_name(F.col("source_file")).alias("c"), "text").collect()) == sorted((n, f"{n} {k}".strip()) for n in names for k in range(3))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        assert read_lines(spark, at).rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_records(spark, tmp_path):
     df = spark.createDataFrame([("naïve 👍\n\"q\"",), ("b",), (None,)], "text string")
     assert records.write_samples(df, str(tmp_path / "a.jsonl"), files=1) and not records.write_samples(df.limit(0), str(tmp_path / "none.jsonl"))
