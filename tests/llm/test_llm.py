@@ -1,5 +1,6 @@
 """Training-data operators against brute force, round trips, held-out accuracy, and their hard cases."""
 
+import pickle
 import random
 from collections import defaultdict
 from datetime import datetime, timedelta
@@ -302,6 +303,30 @@ def test_contained_pairs_blocks(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_contained_copies(spark, monkeypatch):
+    """Records that say the same, in any order of words, are compared as one and written out for each, in bounded batches."""
+    rng = random.Random(21)
+    text = lambda ws, hour: f"<|im_start|>user\n{' '.join(ws)}\n[Hour: {hour}]\n<|im_end|>\n<|im_start|>assistant\nok<|im_end|>"
+    said = [rng.sample([f"w{k}" for k in range(70)], rng.choice([19, 25, 45])) for _ in range(12)]
+    rows = [(12 * c + i, ("train", "train", "val", "test")[(c + i % 3) % 4], "f", text(ws, c)) for c in range(30) for i, ws in enumerate(said)]
+    rows += [(900 + i, "val", "f", text(ws[::-1], 0)) for i, ws in enumerate(said)]
+    want = brute([(i, s, t) for i, s, _, t in rows])
+    df = spark.createDataFrame(rows + rows[:50], "sample_id bigint, split string, source_file string, text string")
+    for block in (4096, 16):
+        packed = []
+        monkeypatch.setattr(overlap, "cut", lambda d, keep=overlap.cut: packed.append(keep(d)) or packed[-1])
+        got = [(r["id_a"], r["id_b"]) for r in overlap.contained_pairs(df, block=block).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        # 19 words and "ok" are enough; the reversed records may lie in other blocks
+        sets = [len(pickle.loads(r["rows"])[0][0]) for r in packed[-1].collect()]
+        assert sum(sets) <= 24 and (block == 16 or sum(sets) == 12), sets
+    start, ids = overlap._members(np.array([(2, 7), (0, 5), (2, 6), (0, 4)]), 4)
+    assert start.tolist() == [0, 2, 2, 4, 4] and ids.tolist() == [4, 5, 6, 7]
+    monkeypatch.setattr(overlap, "AT_ONCE", 3)
+    some = [(x.tolist(), y.tolist()) for x, y in overlap._written((start, ids), np.array([0, 1, 2]), (start, ids), np.array([2, 0, 2]))]
+    assert len(some) > 1 and [p for x, y in some for p in zip(x, y)] == [(4, 6), (4, 7), (5, 6), (5, 7), (6, 6), (6, 7), (7, 6), (7, 7)]
+
+
 def test_contained_columns():
     """Few columns where a few hundred words recur in several languages, and sums that are never below the common words."""
     rng = np.random.default_rng(3)
