@@ -2,6 +2,7 @@
 
 import pickle
 import random
+import zlib
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -327,6 +328,39 @@ def test_contained_copies(spark, monkeypatch):
     assert len(some) > 1 and [p for x, y in some for p in zip(x, y)] == [(4, 6), (4, 7), (5, 6), (5, 7), (6, 6), (6, 7), (7, 6), (7, 7)]
 
 
+def test_found_of_union(spark, tmp_path, monkeypatch):
+    """p7_found takes the share of the words that at least one of the two records has: one within a longer one is no case."""
+    from chatframe.llm.queries import QUERIES
+
+    text = lambda ws: f"<|im_start|>user\n{' '.join(ws)}\n[m]\n<|im_end|>\n<|im_start|>assistant\n<|im_end|>"
+    run = lambda a, b: text(f"w{k}" for k in range(a, b))
+    # 28 of 40 words are exactly 70 %, 27 of 41 are less; 24 words within 40, 28 within 40
+    tables = {"train": [(1, run(0, 34)), (2, None)], "val": [(3, run(6, 40)), (4, run(7, 41)), (5, run(100, 140))], "test": [(6, run(100, 124)), (7, run(100, 128)), (8, run(0, 19))]}
+    for name, rows in tables.items():
+        spark.createDataFrame([(i, t, "f") for i, t in rows + rows[:1]], "sample_id bigint, text string, source_file string").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert sorted(tuple(r) for r in QUERIES["p7_found"](spark, str(tmp_path)).collect()) == [(1, 3), (5, 7)]
+
+    rng = random.Random(31)
+    said = [[f"w{k}" for k in rng.sample(range(400), rng.choice([19, 22, 40, 90, 200]))] for _ in range(60)]
+    said += [[w for w in ws if rng.random() < 0.9] + [f"x{k}" for k in range(rng.randint(0, len(ws) // 3))] for ws in said for _ in range(3)]
+    rows = [(i, rng.choice(["train", "val", "test"]), "f", text(ws)) for i, ws in enumerate(said)]
+    sets = {i: (s, set(ws)) for (i, s, _, _), ws in zip(rows, said) if len(set(ws)) >= 20}
+    want = {(a, b) for a, (s, x) in sets.items() for b, (t, y) in sets.items() if a < b and s != t and 10 * len(x & y) >= 7 * len(x | y)}
+    assert 20 < len(want) < len(brute([(i, s, t) for i, s, _, t in rows]))
+    df = spark.createDataFrame(rows, "sample_id bigint, split string, source_file string, text string")
+    for block in (4096, 32):
+        got = [(r["id_a"], r["id_b"]) for r in overlap.contained_pairs(df, block=block, union=True).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    # strips in which all records are too short or too long are left out
+    monkeypatch.setattr(overlap, "STRIP", 8)
+    kept = [np.unique(np.array([zlib.crc32(w.encode()) for w in ws], np.int64)) for ws in said]
+    flat, lens = np.concatenate(kept), np.array([len(w) for w in kept], np.int64)
+    packed = overlap._packed(np.arange(len(lens)), np.zeros(len(lens)), lens, flat, np.unique(flat)[: overlap.OWN])
+    column, width = overlap._columns(packed, overlap.SHARE, True)
+    alike = {(int(x), int(y)) for i, j in overlap._alike(packed, packed, column, width, overlap.SHARE, True, lambda i, j: i != j) for x, y in zip(packed.ids[i], packed.ids[j])}
+    assert alike == {(a, b) for a, x in enumerate(said) for b, y in enumerate(said) if a != b and 10 * len(set(x) & set(y)) >= 7 * len(set(x) | set(y))}
+
+
 def test_contained_columns():
     """Few columns where a few hundred words recur in several languages, and sums that are never below the common words."""
     rng = np.random.default_rng(3)
