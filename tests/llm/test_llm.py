@@ -355,8 +355,11 @@ def test_found_of_union(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(overlap, "STRIP", 8)
     kept = [np.unique(np.array([zlib.crc32(w.encode()) for w in ws], np.int64)) for ws in said]
     flat, lens = np.concatenate(kept), np.array([len(w) for w in kept], np.int64)
-    packed = overlap._packed(np.arange(len(lens)), np.zeros(len(lens)), lens, flat, np.unique(flat)[: overlap.OWN])
+    packed = overlap._packed(np.arange(len(lens)), np.zeros(len(lens)), lens, flat, np.unique(flat)[:150])
     column, width = overlap._columns(packed, overlap.SHARE, True)
+    dense = overlap._dense(packed, np.arange(len(lens)), column, width)
+    common = np.array([[len(set(said[a]) & set(said[b])) for b in packed.ids] for a in packed.ids])
+    assert width < 512 and (dense @ dense.T > common - 0.01).all()
     alike = {(int(x), int(y)) for i, j in overlap._alike(packed, packed, column, width, overlap.SHARE, True, lambda i, j: i != j) for x, y in zip(packed.ids[i], packed.ids[j])}
     assert alike == {(a, b) for a, x in enumerate(said) for b, y in enumerate(said) if a != b and 10 * len(set(x) & set(y)) >= 7 * len(set(x) | set(y))}
 
